@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salestax_spark.functions.text import check_label, is_blank, lower_text
 from salestax_spark.operators.issues import currency_mismatch_rows, with_currency_flag
+from salestax_spark.sources.inline import inline_table
 from salestax_spark.sources.reference_data import ORPHAN_REFUND
 
 # Check names and statuses as they appear in the report.
@@ -84,8 +85,7 @@ def violation_counts(charges: DataFrame, merchants: DataFrame, orphan_counts: Da
 
 def check_results(violations: DataFrame, expected: tuple[str, ...] = CHECKS) -> DataFrame:
     """Status of every expected check; one that has no count has failed. A failing check stops nothing."""
-    spark = violations.sparkSession
-    names = spark.createDataFrame([(name,) for name in expected], "test_name string")
+    names = inline_table(violations.sparkSession, {"test_name": "string"}, [(name,) for name in expected])
     return (
         names.join(violations, "test_name", "left")
         .withColumn("status", F.when(F.col("violations") == 0, F.lit(PASSED)).otherwise(F.lit(FAILED)))

@@ -36,7 +36,9 @@ def mark_existing(rows: DataFrame, key: str, ids: DataFrame, flag: str, hot_rows
     answers = known_keys(rows, key, ids)
     hot = answers.where(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows"), "_key").limit(HOT_KEYS)
     hot = hot.select(F.col("_key").alias("_hot_key"), F.col("_found").alias("_hot_found"))
-    cold = answers.select(F.col("_key").alias("_cold_key"), F.col("_found").alias("_cold_found"))
+    # "_rows" is always positive. Naming it keeps both uses of the answers alike, so the shuffles behind
+    # them run once and are reused.
+    cold = answers.select(F.col("_key").alias("_cold_key"), (F.col("_found") & (F.col("_rows") > 0)).alias("_cold_found"))
 
     tagged = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
     settled = F.col(key).isNull() | F.col("_hot_found").isNotNull()
@@ -54,14 +56,10 @@ def mark_existing(rows: DataFrame, key: str, ids: DataFrame, flag: str, hot_rows
 def count_missing(rows: DataFrame, group: str, key: str, ids: DataFrame, count_name: str) -> DataFrame:
     """Per ``group``: how many rows have a key that ``ids`` does not hold (a NULL key never exists).
 
-    Rows are counted per group and key before the anti join, so no hot key reaches it.
+    Rows are counted per group and key before the anti join, so no hot key reaches it; of the NULL key
+    there is one row per group.
     """
     counted = rows.groupBy(group, key).agg(F.count("*").alias("_rows"))
-    unkeyed = counted.where(F.col(key).isNull())
     present = ids.select(F.col(ids.columns[0]).alias("_key")).distinct()
-    absent = counted.where(F.col(key).isNotNull()).join(present, F.col(key) == F.col("_key"), "left_anti")
-    return (
-        unkeyed.unionByName(absent)
-        .groupBy(group)
-        .agg(F.sum("_rows").alias(count_name))
-    )
+    absent = counted.join(present, F.col(key) == F.col("_key"), "left_anti")
+    return absent.groupBy(group).agg(F.sum("_rows").alias(count_name))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salestax_spark.functions.dates import utc_now_iso
 from salestax_spark.functions.text import state_label, tier_label, title_from_slug, truthy
+from salestax_spark.sources.inline import inline_table
 from salestax_spark.sources.reference_data import ISSUES
 
 # Report keys in document order; severities in display order.
@@ -92,6 +93,7 @@ def json_records(df: DataFrame) -> DataFrame:
 
 
 _OPEN, _RECORD, _CLOSE = 0, 1, 2
+_LINE_COLUMNS = {"section": "int", "part": "int", "record": "string", "line": "string"}
 
 
 def report_lines(
@@ -141,7 +143,7 @@ def report_lines(
         "record",
         F.when(F.col("record") == F.col("first_record"), text).otherwise(F.concat(F.lit(","), text)).alias("line"),
     )
-    return spark.createDataFrame(frame, "section int, part int, record string, line string").unionByName(lines)
+    return inline_table(spark, _LINE_COLUMNS, frame).unionByName(lines)
 
 
 def write_report(lines: DataFrame, path: str) -> None:

@@ -38,6 +38,7 @@ _CARRIED = (
     "is_b2b_missing_cert",
     "is_zero_tax_taxable_state",
 )
+_TIE_BREAK = ("occurred_at", "merchant_id", "subtotal_usd", "tax_collected_usd")
 _SLIM = ("source_rank", "order_id", "link_id", *_CARRIED)
 
 UNIFIED_COLUMNS = (
@@ -64,44 +65,43 @@ UNIFIED_COLUMNS = (
 )
 
 
+def _slim(df: DataFrame, computed: dict[str, Column]) -> DataFrame:
+    return df.select(*[computed.get(name, F.col(name)).alias(name) for name in _SLIM])
+
+
 def slim_charges(charges: DataFrame) -> DataFrame:
     """A charge is linked by its own id, so the id is not carried a second time."""
     tax = F.col("tax_amount_collected_cents")
-    return (
-        charges.withColumnRenamed("created_at", "occurred_at")
-        .withColumns(
-            {
-                "source_rank": F.lit(PAYMENTS_RANK),
-                "order_id": F.lit(None).cast("string"),
-                "link_id": F.col("id").cast("string"),
-                "subtotal_usd": cents_to_units(F.col("amount_cents") - tax),
-                "tax_collected_usd": cents_to_units(tax),
-            }
-        )
-        .select(*_SLIM)
+    return _slim(
+        charges,
+        {
+            "source_rank": F.lit(PAYMENTS_RANK),
+            "order_id": F.lit(None).cast("string"),
+            "link_id": F.col("id").cast("string"),
+            "occurred_at": F.col("created_at"),
+            "subtotal_usd": cents_to_units(F.col("amount_cents") - tax),
+            "tax_collected_usd": cents_to_units(tax),
+        },
     )
 
 
 def slim_orders(orders: DataFrame) -> DataFrame:
     """Orders carry no business-customer information of their own."""
-    return (
-        orders.withColumnRenamed("created_at", "occurred_at")
-        .withColumns(
-            {
-                "source_rank": F.lit(STOREFRONT_RANK),
-                "order_id": F.col("id").cast("string"),
-                "link_id": F.col("stripe_charge_id").cast("string"),
-                "subtotal_usd": F.col("subtotal_price"),
-                "tax_collected_usd": F.col("total_tax"),
-                "is_b2b": F.lit(False),
-                "exemption_cert_id": F.lit(None).cast("string"),
-                "is_b2b_missing_cert": F.lit(False),
-                "is_zero_tax_taxable_state": zero_tax_order(
-                    F.col("total_tax"), F.col("billing_state"), F.col("financial_status")
-                ),
-            }
-        )
-        .select(*_SLIM)
+    tax = F.col("total_tax")
+    return _slim(
+        orders,
+        {
+            "source_rank": F.lit(STOREFRONT_RANK),
+            "order_id": F.col("id").cast("string"),
+            "link_id": F.col("stripe_charge_id").cast("string"),
+            "occurred_at": F.col("created_at"),
+            "subtotal_usd": F.col("subtotal_price"),
+            "tax_collected_usd": tax,
+            "is_b2b": F.lit(False),
+            "exemption_cert_id": F.lit(None).cast("string"),
+            "is_b2b_missing_cert": F.lit(False),
+            "is_zero_tax_taxable_state": zero_tax_order(tax, F.col("billing_state"), F.col("financial_status")),
+        },
     )
 
 
@@ -109,38 +109,33 @@ def slim_rows(charges: DataFrame, orders: DataFrame) -> DataFrame:
     return slim_charges(charges).unionByName(slim_orders(orders))
 
 
-def _system() -> Column:
-    return F.when(F.col("source_rank") == PAYMENTS_RANK, F.lit(PAYMENTS)).otherwise(F.lit(STOREFRONT))
-
-
-def _source_id() -> Column:
-    return F.when(F.col("source_rank") == PAYMENTS_RANK, F.col("link_id")).otherwise(F.col("order_id"))
-
-
-def widen(slim: DataFrame) -> DataFrame:
-    """Adds everything that can be computed from the row itself."""
-    named = slim.withColumns({"source_system": _system(), "source_txn_id": _source_id()})
-    return named.withColumns(
-        {
-            "txn_key": surrogate_key(F.col("source_system"), F.col("source_txn_id")),
-            "is_refund": F.lit(False),
-            "parent_txn_id": F.lit(None).cast("string"),
-        }
-    )
+def widen(slim: DataFrame, *extra: str) -> DataFrame:
+    """The full shape, plus ``extra`` columns; what is added can be computed from the row itself."""
+    is_payment = F.col("source_rank") == PAYMENTS_RANK
+    system = F.when(is_payment, F.lit(PAYMENTS)).otherwise(F.lit(STOREFRONT))
+    identifier = F.when(is_payment, F.col("link_id")).otherwise(F.col("order_id"))
+    computed = {
+        "txn_key": surrogate_key(system, identifier),
+        "source_txn_id": identifier,
+        "source_system": system,
+        "is_refund": F.lit(False),
+        "parent_txn_id": F.lit(None).cast("string"),
+    }
+    return slim.select(*[computed.get(name, F.col(name)).alias(name) for name in (*UNIFIED_COLUMNS, *extra)])
 
 
 def canonical_rows(charges: DataFrame, orders: DataFrame) -> DataFrame:
     """Both systems in one shape, before duplicates are removed; ``link_id`` is still there."""
-    return widen(slim_rows(charges, orders)).select(*UNIFIED_COLUMNS, "link_id")
+    return widen(slim_rows(charges, orders), "link_id")
 
 
 def rank_links(slim: DataFrame) -> DataFrame:
     """Adds ``rn``, the position within the link key: payments first, then id as text.
 
-    The remaining columns only break ties between records that repeat an id, so that a retried task
-    picks the same one.
+    _TIE_BREAK decides between records that repeat an id. It is kept to columns the marts need anyway,
+    so that unused columns are still pruned in front of the shuffle.
     """
-    preference = [F.col("source_rank"), F.col("order_id").asc_nulls_last(), *[F.col(name) for name in _CARRIED]]
+    preference = [F.col("source_rank"), F.col("order_id").asc_nulls_last(), *map(F.col, _TIE_BREAK)]
     return slim.withColumn("rn", F.row_number().over(Window.partitionBy("link_id").orderBy(*preference)))
 
 
@@ -162,4 +157,4 @@ def unified_transactions(charges: DataFrame, orders: DataFrame, null_link: str =
         kept = first_per_link(slim.where(~unlinked)).unionByName(slim.where(unlinked))
     else:
         raise ValueError(f"null_link must be 'collapse' or 'keep', not {null_link!r}")
-    return widen(kept).select(*UNIFIED_COLUMNS)
+    return widen(kept)

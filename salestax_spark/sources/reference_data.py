@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from salestax_spark.sources import schemas
+from salestax_spark.sources.inline import inline_table
 
 # ---- Fixed values -------------------------------------------------------------------------------
 # Two-letter code and name of the fifty states and the federal district.
@@ -163,8 +164,8 @@ def threshold_rows() -> list[tuple]:
 
 
 def threshold_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(threshold_rows(), schemas.THRESHOLDS)
+    return inline_table(spark, schemas.THRESHOLD_COLUMNS, threshold_rows())
 
 
 def merchant_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(KNOWN_MERCHANTS), schemas.MERCHANTS)
+    return inline_table(spark, schemas.MERCHANT_COLUMNS, KNOWN_MERCHANTS)

@@ -30,11 +30,28 @@ REFUND_COLUMNS = {
     "charge_id": "string",
 }
 
-REFUND_DOCUMENT = ", ".join(f"{name} {dtype}" for name, dtype in REFUND_COLUMNS.items())
+THRESHOLD_COLUMNS = {
+    "state_code": "string",
+    "state_name": "string",
+    "has_sales_tax": "boolean",
+    "sales_threshold_usd": "double",
+    "transaction_threshold": "bigint",
+    "threshold_logic": "string",
+    "notes": "string",
+}
+
+MERCHANT_COLUMNS = {
+    "id": "string",
+    "name": "string",
+    "currency": "string",
+    "shopify_stores": "array<string>",
+}
+
+
+def ddl(columns: dict[str, str]) -> str:
+    return ", ".join(f"{name} {dtype}" for name, dtype in columns.items())
 
-THRESHOLDS = """
-    state_code string, state_name string, has_sales_tax boolean, sales_threshold_usd double,
-    transaction_threshold bigint, threshold_logic string, notes string
-"""
 
-MERCHANTS = "id string, name string, currency string, shopify_stores array<string>"
+REFUND_DOCUMENT = ddl(REFUND_COLUMNS)
+THRESHOLDS = ddl(THRESHOLD_COLUMNS)
+MERCHANTS = ddl(MERCHANT_COLUMNS)

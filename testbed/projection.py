@@ -6,8 +6,7 @@ item gives a refund. Nothing is left out; defects are set by arithmetic on the k
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from salestax_spark.sources import reference_data
 from salestax_spark.sources.reference_data import zero_tax_states
@@ -18,205 +17,141 @@ AS_OF = "2001-08-01"
 STATES = ["CA", "TX", "NY", "FL", "WA", "IL", "PA", "OH", "GA", "NC", "NJ", "VA", "AZ", "OR", "MT", "NH", "DE", "AK",
           "DC", None, "", " ca ", "PR", "XQ", "QC"]
 
-k, u, n = F.col("k"), F.col("u"), F.col("n")
+# Only the columns the projection needs; with them declared, no job is spent on reading footers.
+TABLES = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_extendedprice double, l_returnflag string",
+}
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
-def _cases(pairs: list[tuple[Column, object]], default: object) -> Column:
-    out = F.lit(default) if not isinstance(default, Column) else default
-    for condition, value in reversed(pairs):
-        out = F.when(condition, value).otherwise(out)
-    return out
-
-
-def _merchant() -> Column:
-    return _cases(
-        [(u < 8, "merch_acme_foods"), (u < 12, "merch_ridge_gear"), (u < 14, "merch_nova_health"), (u == 14, "merch_surf_co")],
-        "merch_graze_box",
-    )
-
-
-def _store() -> Column:
-    return _cases(
-        [
-            (u < 8, "acme-foods-main"),
-            ((u < 12) & (k % 100 < 72), "ridge-gear-us"),
-            (u < 12, "ridge-gear-ca"),
-            (u < 14, "nova-health-b2b"),
-            (u == 14, "surf-co-eu"),
-        ],
-        "graze-box-dtc",
-    )
-
+def _texts(values: list) -> str:
+    return ", ".join("NULL" if v is None else f"'{v}'" for v in values)
 
-def _day_seconds() -> Column:
-    return F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint") * 86400
 
-
-def _two_digits(value: Column) -> Column:
-    return F.lpad(value.cast("string"), 2, "0")
+def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
+ORDER_FACTS = [
+    "k",
+    "cust",
+    "CASE WHEN u < 8 THEN 'merch_acme_foods' WHEN u < 12 THEN 'merch_ridge_gear' WHEN u < 14 THEN 'merch_nova_health'"
+    " WHEN u = 14 THEN 'merch_surf_co' ELSE 'merch_graze_box' END AS merchant_id",
+    "CASE WHEN u < 8 THEN 'acme-foods-main' WHEN u < 12 AND k % 100 < 72 THEN 'ridge-gear-us'"
+    " WHEN u < 12 THEN 'ridge-gear-ca' WHEN u < 14 THEN 'nova-health-b2b' WHEN u = 14 THEN 'surf-co-eu'"
+    " ELSE 'graze-box-dtc' END AS source_store",
+    "CAST(round(o_totalprice / 10e0) AS bigint) AS amount",
+    "unix_date(day) * 86400L + k % 86400 AS created",
+    "CASE WHEN k % 50 = 7 OR k % 97 = 3 THEN 'failed' ELSE 'succeeded' END AS status",
+    "CASE WHEN u = 14 AND k % 10 >= 3 THEN 'EUR' ELSE 'USD' END AS currency",
+    "day",
+]
+
+BASE = [
+    *["k", "merchant_id", "source_store", "amount", "created", "status", "currency", "day", "billing_state"],
+    "CASE WHEN k % 61 = 11 THEN '' WHEN n <> 19 THEN CAST(10000 + k % 89999 AS string) END AS billing_zip",
+    "CASE WHEN n = 23 THEN 'FR' WHEN n = 24 THEN 'CA' WHEN k % 2 = 0 THEN 'US' ELSE ' usa' END AS billing_country",
+    "k % 10 = 1 AS is_b2b",
+    "CASE WHEN k % 10 <> 1 OR k % 20 = 1 THEN NULL WHEN k % 40 = 31 THEN '  ' ELSE 'CERT-' || k END AS exemption_cert_id",
+    f"CASE WHEN upper(trim(billing_state)) IN ({_texts(zero_tax_states())}) AND k % 33 <> 0 AND k % 50 <> 7"
+    " THEN amount * (475 + k % 556) div 10000 WHEN n = 19 AND k % 7 = 0 THEN amount div 20 ELSE 0L END AS tax",
+]
+
+CHARGE = [
+    "copy.prefix || k AS id",
+    "'charge' AS object",
+    *["merchant_id", "amount", "currency", "status", "created", "tax AS tax_amount_collected"],
+    "copy.store AS source_store",
+    *["billing_state", "billing_zip", "billing_country", "is_b2b", "exemption_cert_id"],
+    "CAST(k AS string) AS shopify_order_id",
+]
+
+ORDER = [
+    "k AS id",
+    "'#' || k % 100000 AS name",
+    *["merchant_id", "source_store"],
+    "day || 'T' || lpad(k % 86400 div 3600, 2, '0') || ':' || lpad(k % 3600 div 60, 2, '0') || ':'"
+    " || lpad(k % 60, 2, '0') || '+0000' AS created_at",
+    "currency",
+    "amount / 100e0 AS total_price",
+    "(amount - tax) / 100e0 AS subtotal_price",
+    "tax / 100e0 AS total_tax",
+    "false AS taxes_included",
+    "CASE WHEN k % 50 = 7 THEN 'pending' WHEN k % 20 = 4 THEN 'partially_refunded' ELSE 'paid' END AS financial_status",
+    "CASE WHEN k % 200 <> 9 THEN 'ch_' || k END AS stripe_charge_id",
+    *["billing_state", "billing_zip", "billing_country"],
+]
+
+REFUND = [
+    "'re_' || l_orderkey || '_' || l_partkey || '_' || l_linenumber AS id",
+    "'refund' AS object",
+    "merchant_id",
+    "CAST(round(l_extendedprice) AS bigint) AS amount",
+    *["currency", "status", "created"],
+    "CASE WHEN l_orderkey % 331 = 0 THEN NULL WHEN l_orderkey % 50 = 0 THEN 'ch_FAKE_' || l_orderkey"
+    " ELSE 'ch_' || l_orderkey END AS charge_id",
+]
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What depends on the order alone."""
-    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    named = orders.withColumns({"k": F.col("o_orderkey"), "u": F.col("o_custkey") % 16})
-    second = k % 86400
-    clock = F.concat_ws(
-        ":",
-        _two_digits(F.expr("k % 86400 div 3600")),
-        _two_digits(F.expr("k % 3600 div 60")),
-        _two_digits(F.expr("k % 60")),
-    )
-    return named.select(
-        "k",
-        "u",
-        "o_custkey",
-        _merchant().alias("merchant_id"),
-        _store().alias("source_store"),
-        F.round(F.col("o_totalprice") / 10.0).cast("bigint").alias("amount"),
-        (_day_seconds() + second).alias("created"),
-        F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit("T"), clock, F.lit("+0000")).alias("created_iso"),
-        F.when((k % 50 == 7) | (k % 97 == 3), "failed").otherwise("succeeded").alias("status"),
-        F.when((u == 14) & (k % 10 >= 3), "EUR").otherwise("USD").alias("currency"),
+    keyed = _read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS k", "o_custkey AS cust", "o_custkey % 16 AS u", "o_totalprice", "CAST(o_orderdate AS date) AS day"
     )
+    return keyed.selectExpr(*ORDER_FACTS)
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order facts with the buyer's address and the tax that follows from it."""
-    customers = _read(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n"))
-    state = F.element_at(F.array(*[F.lit(s) for s in STATES]), n + 1)
-    joined = order_facts(spark, sf_dir).join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    is_taxed = F.upper(F.trim(state)).isin(zero_tax_states()) & (k % 33 != 0) & (k % 50 != 7)
-    tax = (
-        F.when(is_taxed, F.expr("amount * (475 + k % 556) div 10000"))
-        .when((n == 19) & (k % 7 == 0), F.expr("amount div 20"))
-        .otherwise(F.lit(0).cast("bigint"))
-    )
-    return joined.select(
-        *[name for name in joined.columns if name not in ("o_custkey", "c_custkey")],
-        state.alias("billing_state"),
-        F.when(k % 61 == 11, "").when(n != 19, (10000 + k % 89999).cast("string")).alias("billing_zip"),
-        _cases([(n == 23, "FR"), (n == 24, "CA"), (k % 2 == 0, "US")], " usa").alias("billing_country"),
-        (k % 10 == 1).alias("is_b2b"),
-        F.when((k % 10 != 1) | (k % 20 == 1), F.lit(None).cast("string"))
-        .when(k % 40 == 31, "  ")
-        .otherwise(F.concat(F.lit("CERT-"), k.cast("string")))
-        .alias("exemption_cert_id"),
-        tax.alias("tax"),
+    customers = _read(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS cust", "c_nationkey AS n", f"element_at(array({_texts(STATES)}), c_nationkey + 1) AS billing_state"
     )
+    return order_facts(spark, sf_dir).join(customers, "cust").selectExpr(*BASE)
 
 
 def raw_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One charge per order; some orders of one store were also charged in the sister store."""
-    own = F.struct(F.lit("ch_").alias("prefix"), F.col("source_store").alias("store"))
-    clone = F.struct(F.lit("ch_dup_").alias("prefix"), F.lit("ridge-gear-ca").alias("store"))
-    is_doubled = (F.col("source_store") == "ridge-gear-us") & (k % 12 == 5)
-    copies = F.when(is_doubled, F.array(own, clone)).otherwise(F.array(own))
-    return base(spark, sf_dir).withColumn("copy", F.explode(copies)).select(
-        F.concat(F.col("copy.prefix"), k.cast("string")).alias("id"),
-        F.lit("charge").alias("object"),
-        "merchant_id",
-        "amount",
-        "currency",
-        "status",
-        "created",
-        F.col("tax").alias("tax_amount_collected"),
-        F.col("copy.store").alias("source_store"),
-        "billing_state",
-        "billing_zip",
-        "billing_country",
-        "is_b2b",
-        "exemption_cert_id",
-        k.cast("string").alias("shopify_order_id"),
-    )
+    own = "named_struct('prefix', 'ch_', 'store', source_store)"
+    clone = "named_struct('prefix', 'ch_dup_', 'store', 'ridge-gear-ca')"
+    copies = f"CASE WHEN source_store = 'ridge-gear-us' AND k % 12 = 5 THEN array({own}, {clone}) ELSE array({own}) END"
+    return base(spark, sf_dir).selectExpr("*", f"explode({copies}) AS copy").selectExpr(*CHARGE)
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return base(spark, sf_dir).select(
-        k.alias("id"),
-        F.concat(F.lit("#"), (k % 100000).cast("string")).alias("name"),
-        "merchant_id",
-        "source_store",
-        F.col("created_iso").alias("created_at"),
-        "currency",
-        (F.col("amount") / 100.0).alias("total_price"),
-        ((F.col("amount") - F.col("tax")) / 100.0).alias("subtotal_price"),
-        (F.col("tax") / 100.0).alias("total_tax"),
-        F.lit(False).alias("taxes_included"),
-        F.when(k % 50 == 7, "pending").when(k % 20 == 4, "partially_refunded").otherwise("paid").alias("financial_status"),
-        F.when(k % 200 != 9, F.concat(F.lit("ch_"), k.cast("string"))).alias("stripe_charge_id"),
-        "billing_state",
-        "billing_zip",
-        "billing_country",
-    )
+    return base(spark, sf_dir).selectExpr(*ORDER)
 
 
 def raw_refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_returnflag"
-    )
-    returned = lines.where(F.col("l_returnflag") == "R")
-    key = F.col("l_orderkey").cast("string")
-    charge = (
-        F.when(F.col("l_orderkey") % 331 == 0, F.lit(None).cast("string"))
-        .when(F.col("l_orderkey") % 50 == 0, F.concat(F.lit("ch_FAKE_"), key))
-        .otherwise(F.concat(F.lit("ch_"), key))
-    )
-    return returned.join(order_facts(spark, sf_dir), F.col("l_orderkey") == k).select(
-        F.concat_ws("_", F.lit("re"), key, F.col("l_partkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"),
-        F.lit("refund").alias("object"),
-        "merchant_id",
-        F.round("l_extendedprice").cast("bigint").alias("amount"),
-        "currency",
-        "status",
-        "created",
-        charge.alias("charge_id"),
-    )
+    returned = _read(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    facts = order_facts(spark, sf_dir).withColumnRenamed("k", "l_orderkey")
+    return returned.join(facts, "l_orderkey").selectExpr(*REFUND)
 
 
 def charge_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw charges wrapped back into the nested form the payment system delivers."""
-    address = F.struct(
-        F.lit("Springfield").alias("city"),
-        F.col("billing_country").alias("country"),
-        F.lit("1 Main St").alias("line1"),
-        F.col("billing_zip").alias("postal_code"),
-        F.col("billing_state").alias("state"),
-    )
-    flat = raw_charges(spark, sf_dir)
-    return flat.select(
+    return raw_charges(spark, sf_dir).selectExpr(
         *["id", "object", "merchant_id", "amount", "currency", "status", "created"],
-        F.struct(F.lit("a@example.com").alias("email"), F.lit("A").alias("name"), address.alias("address")).alias("billing_details"),
-        F.struct("shopify_order_id", "is_b2b", "exemption_cert_id").alias("metadata"),
-        "tax_amount_collected",
-        "source_store",
+        "named_struct('email', 'a@example.com', 'name', 'A', 'address', named_struct('city', 'Springfield', 'country',"
+        " billing_country, 'line1', '1 Main St', 'postal_code', billing_zip, 'state', billing_state)) AS billing_details",
+        "struct(shopify_order_id, is_b2b, exemption_cert_id) AS metadata",
+        *["tax_amount_collected", "source_store"],
     )
 
 
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = raw_orders(spark, sf_dir)
-    address = F.struct(
-        F.lit("1 Main St").alias("address1"),
-        F.lit("Springfield").alias("city"),
-        F.col("billing_state").alias("province_code"),
-        F.col("billing_country").alias("country_code"),
-        F.col("billing_zip").alias("zip"),
+    return flat.selectExpr(
+        *[name for name in flat.columns if not name.startswith("billing_")],
+        "named_struct('address1', '1 Main St', 'city', 'Springfield', 'province_code', billing_state,"
+        " 'country_code', billing_country, 'zip', billing_zip) AS billing_address",
+        "array(named_struct('name', 'is_b2b', 'value', 'false')) AS note_attributes",
     )
-    note = F.struct(F.lit("is_b2b").alias("name"), F.lit("false").alias("value"))
-    kept = [name for name in flat.columns if not name.startswith("billing_")]
-    return flat.select(*kept, address.alias("billing_address"), F.array(note).alias("note_attributes"))
 
 
 def scaled_thresholds(spark: SparkSession) -> DataFrame:
     """Lower thresholds, so that the test data reaches every exposure tier."""
-    table = reference_data.threshold_table(spark)
-    return table.withColumns(
-        {
-            "sales_threshold_usd": F.col("sales_threshold_usd") / 50.0,
-            "transaction_threshold": F.col("transaction_threshold") / 20.0,
-        }
+    return reference_data.threshold_table(spark).selectExpr(
+        *["state_code", "state_name", "has_sales_tax", "sales_threshold_usd / 50e0 AS sales_threshold_usd"],
+        *["transaction_threshold / 20e0 AS transaction_threshold", "threshold_logic", "notes"],
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,51 +42,65 @@ def epochs(df: DataFrame) -> DataFrame:
 
 
 class Layers:
-    """The staged and derived DataFrames for one data folder; all lazy."""
+    """The raw, staged and derived DataFrames for one data folder, built when asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.merchants = reference_data.merchant_table(spark)
-        self.thresholds = reference_data.threshold_table(spark)
-        self.raw_charges = raw.raw_charges(spark, sf_dir)
-        self.raw_orders = raw.raw_orders(spark, sf_dir)
-        self.raw_refunds = raw.raw_refunds(spark, sf_dir)
-        self.charges = staging.stage_charges(self.raw_charges)
-        self.orders = staging.stage_orders(self.raw_orders)
-
-    @property
+        self.sf_dir = sf_dir
+
+    @cached_property
+    def merchants(self) -> DataFrame:
+        return reference_data.merchant_table(self.spark)
+
+    @cached_property
+    def thresholds(self) -> DataFrame:
+        return reference_data.threshold_table(self.spark)
+
+    @cached_property
+    def raw_refunds(self) -> DataFrame:
+        return raw.raw_refunds(self.spark, self.sf_dir)
+
+    @cached_property
+    def charges(self) -> DataFrame:
+        return staging.stage_charges(raw.raw_charges(self.spark, self.sf_dir))
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return staging.stage_orders(raw.raw_orders(self.spark, self.sf_dir))
+
+    @cached_property
     def refunds(self) -> DataFrame:
         return staging.stage_refunds(self.raw_refunds, self.charges)
 
-    @property
+    @cached_property
     def unified(self) -> DataFrame:
         return unify.unified_transactions(self.charges, self.orders)
 
-    @property
+    @cached_property
     def sales(self) -> DataFrame:
         return nexus.state_sales(self.unified, AS_OF)
 
-    @property
+    @cached_property
     def orphans(self) -> DataFrame:
         return issues.orphan_refund_counts(self.raw_refunds, self.charges)
 
-    @property
+    @cached_property
     def issues(self) -> DataFrame:
         return issues.data_issues(self.unified, self.merchants, self.orphans)
 
-    @property
+    @cached_property
     def nexus(self) -> DataFrame:
         return nexus.nexus_exposure(self.unified, self.thresholds, AS_OF)
 
-    @property
+    @cached_property
     def nexus_scaled(self) -> DataFrame:
         return nexus.nexus_exposure(self.unified, raw.scaled_thresholds(self.spark), AS_OF)
 
-    @property
+    @cached_property
     def counts(self) -> DataFrame:
         return issues.transaction_counts(self.unified)
 
-    @property
+    @cached_property
     def checks(self) -> DataFrame:
         return checks.check_results(checks.violation_counts(self.charges, self.merchants, self.orphans))
 
@@ -413,7 +428,7 @@ def link_rank(spark: SparkSession, sf: str) -> DataFrame:
     """The best-ranked row of every link, with its rank."""
     layers = Layers(spark, sf)
     ranked = unify.rank_links(unify.slim_rows(layers.charges, layers.orders))
-    return unify.widen(ranked.where(F.col("rn") == 1)).select("link_id", "source_system", "source_txn_id", "rn")
+    return unify.widen(ranked.where(F.col("rn") == 1), "link_id", "rn").select("link_id", "source_system", "source_txn_id", "rn")
 
 
 @query(oracle(f"SELECT {UNIFIED_OUT} FROM unified", STAGED, UNIFIED))
