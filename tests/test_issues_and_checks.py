@@ -1,0 +1,143 @@
+import pytest
+
+from builders import by, raw_charges, raw_orders, raw_refunds
+from salestax_spark.operators import checks, issues, staging, unify
+from salestax_spark.sources import reference_data as ref
+
+CHARGES = [
+    {"id": "ok"},
+    {"id": "no_zip", "billing_zip": " "},
+    {"id": "no_state", "billing_state": None},
+    {"id": "untaxed", "tax_amount_collected": 0},
+    {"id": "untaxed_unknown", "tax_amount_collected": 0, "billing_state": None, "billing_zip": None},
+    {"id": "b2b", "is_b2b": True},
+    {"id": "eur", "currency": "EUR"},
+    {"id": "null_currency", "currency": None},
+    {"id": "surf_usd", "merchant_id": "merch_surf_co"},
+    {"id": "surf_eur", "merchant_id": "merch_surf_co", "currency": "EUR"},
+    {"id": "stranger_eur", "merchant_id": "unknown", "currency": "eur"},
+    {"id": "nobody_eur", "merchant_id": None, "currency": "eur"},
+]
+REFUNDS = [
+    {"id": "r1", "charge_id": "ok"},
+    {"id": "r2", "charge_id": "missing"},
+    {"id": "r3", "charge_id": None},
+    {"id": "r4", "charge_id": "missing", "merchant_id": "only_refunds"},
+]
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    charges = staging.stage_charges(raw_charges(spark, *CHARGES))
+    orders = staging.stage_orders(raw_orders(spark, {"id": 1, "stripe_charge_id": "ok"}))
+    refunds = raw_refunds(spark, *REFUNDS)
+    return {
+        "charges": charges,
+        "unified": unify.unified_transactions(charges, orders),
+        "refunds": refunds,
+        "orphans": issues.orphan_refund_counts(refunds, charges),
+        "merchants": ref.merchant_table(spark),
+    }
+
+
+def test_issue_mart(data):
+    mart = issues.data_issues(data["unified"], data["merchants"], data["orphans"])
+    got = {(r.merchant_id, r.issue_type): (r.issue_count, r.severity) for r in mart.collect()}
+    acme = "merch_acme_foods"
+    assert got == {
+        (acme, "missing_billing_address"): (3, "high"),
+        (acme, "zero_tax_in_taxable_state"): (1, "high"),
+        (acme, "b2b_missing_exemption_cert"): (1, "medium"),
+        (acme, "currency_mismatch"): (1, "medium"),
+        ("merch_surf_co", "currency_mismatch"): (1, "medium"),
+        ("unknown", "currency_mismatch"): (1, "medium"),
+        (None, "currency_mismatch"): (1, "medium"),
+        (acme, "orphan_refund"): (2, "high"),
+        ("only_refunds", "orphan_refund"): (1, "high"),
+    }
+    assert mart.dtypes == [
+        ("merchant_id", "string"), ("issue_type", "string"), ("issue_count", "bigint"), ("severity", "string"),
+        ("recommended_action", "string"),
+    ]
+    assert all(r.recommended_action for r in mart.collect())
+
+
+def test_issue_counts_equal_the_row_lists(data):
+    mart = issues.data_issues(data["unified"], data["merchants"], data["orphans"])
+    total = mart.groupBy("issue_type").sum("issue_count")
+    by_type = by(total, "issue_type", "sum(issue_count)")
+    assert by_type["missing_billing_address"] == issues.missing_billing_rows(data["unified"]).count()
+    assert by_type["currency_mismatch"] == issues.currency_mismatch_rows(data["unified"], data["merchants"]).count()
+    orphans = checks.orphan_refunds(staging.stage_refunds(data["refunds"], data["charges"]))
+    assert by_type["orphan_refund"] == orphans.count() == 3
+
+
+def test_advice_can_be_replaced(data):
+    mine = tuple(ref.Issue(i.issue_type, i.severity, i.label, "call us") for i in ref.ISSUES)
+    mart = issues.data_issues(data["unified"], data["merchants"], data["orphans"], mine)
+    assert {r.recommended_action for r in mart.collect()} == {"call us"}
+
+
+def test_transaction_counts(data):
+    counts = by(issues.transaction_counts(data["unified"]), "merchant_id", "total_transactions")
+    assert counts == {"merch_acme_foods": 8, "merch_surf_co": 2, "unknown": 1, None: 1}
+
+
+def test_unified_rows_are_read_once(data):
+    mart = issues.data_issues(data["unified"], data["merchants"], data["orphans"])
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(link_id") == 1
+
+
+def test_row_checks(data):
+    charges = data["charges"]
+    assert [r.id for r in checks.b2b_without_certificate(charges).collect()] == ["b2b"]
+    assert [r.id for r in checks.tax_without_state(charges).collect()] == ["no_state"]
+    assert [r.id for r in checks.untaxed_in_taxable_state(charges).collect()] == ["untaxed"]
+    off = checks.off_currency(charges, data["merchants"])
+    assert sorted(r.id for r in off.collect()) == ["eur", "nobody_eur", "stranger_eur", "surf_usd"]
+    assert off.columns == charges.columns
+
+
+def test_cross_store_duplicates(spark):
+    charges = staging.stage_charges(
+        raw_charges(
+            spark,
+            {"id": "a", "shopify_order_id": "1", "source_store": "us"},
+            {"id": "b", "shopify_order_id": "1", "source_store": "ca"},
+            {"id": "c", "shopify_order_id": "2", "source_store": "us"},
+            {"id": "d", "shopify_order_id": "2", "source_store": "us"},
+            {"id": "e", "shopify_order_id": "3", "source_store": "us"},
+            {"id": "f", "shopify_order_id": "3", "source_store": None},
+            {"id": "g", "shopify_order_id": None, "source_store": "us"},
+            {"id": "h", "shopify_order_id": None, "source_store": "ca"},
+        )
+    )
+    got = by(checks.cross_store_duplicates(charges), "shopify_order_id", "store_cnt")
+    assert got == {"1": 2, None: 2}
+
+
+def test_suite(data):
+    results = checks.check_results(checks.violation_counts(data["charges"], data["merchants"], data["orphans"]))
+    rows = results.collect()
+    assert [r.test_name for r in rows] == sorted(checks.CHECKS)
+    assert {r.test_name: (r.violations, r.status) for r in rows} == {
+        checks.CHECK_B2B: (1, "failed"),
+        checks.CHECK_CURRENCY: (4, "failed"),
+        checks.CHECK_DUPLICATES: (0, "passed"),
+        checks.CHECK_ORPHANS: (3, "failed"),
+        checks.CHECK_TAX_NO_STATE: (1, "failed"),
+        checks.CHECK_ZERO_TAX: (1, "failed"),
+    }
+    assert rows[0].label == "B2b Missing Exemption Cert"
+    totals = checks.check_totals(results).first()
+    assert (totals.passed, totals.failed) == (1, 5)
+
+
+def test_suite_without_data_passes_and_a_missing_count_fails(spark, data):
+    nothing = data["charges"].where("false")
+    no_orphans = data["orphans"].where("false")
+    counts = checks.violation_counts(nothing, data["merchants"], no_orphans)
+    assert {r.status for r in checks.check_results(counts).collect()} == {"passed"}
+    partly = checks.check_results(counts.where(counts.test_name != checks.CHECK_ORPHANS))
+    assert by(partly, "test_name", "status")[checks.CHECK_ORPHANS] == "failed"
