@@ -55,3 +55,8 @@ def raw_refunds(spark, *rows):
 
 def by(df, key, value):
     return {row[key]: row[value] for row in df.collect()}
+
+
+def formatted_plan(spark, df):
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
