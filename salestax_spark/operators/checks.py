@@ -54,6 +54,18 @@ def untaxed_in_taxable_state(charges: DataFrame) -> DataFrame:
     return charges.where("is_zero_tax_taxable_state")
 
 
+def violating_rows(charges: DataFrame, merchants: DataFrame, staged_refunds: DataFrame) -> dict[str, DataFrame]:
+    """The rows behind every check, for looking into a failure; lazy."""
+    return {
+        CHECK_B2B: b2b_without_certificate(charges),
+        CHECK_CURRENCY: off_currency(charges, merchants),
+        CHECK_DUPLICATES: cross_store_duplicates(charges),
+        CHECK_ORPHANS: orphan_refunds(staged_refunds),
+        CHECK_TAX_NO_STATE: tax_without_state(charges),
+        CHECK_ZERO_TAX: untaxed_in_taxable_state(charges),
+    }
+
+
 def _one_row_checks(charges: DataFrame, merchants: DataFrame) -> DataFrame:
     """The four row-level checks in a single scan; the currency test runs on the aggregated rows."""
     by_currency = charges.groupBy("merchant_id", lower_text(F.col("currency")).alias("currency")).agg(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from salestax_spark.functions.dates import from_epoch
 from salestax_spark.functions.text import code, is_blank, lower_text
 from salestax_spark.operators.existence import mark_existing
+from salestax_spark.sources.inline import sql_literal
 from salestax_spark.sources.reference_data import zero_tax_states
 
 # Fixed values.
@@ -23,13 +24,19 @@ def missing_certificate(is_b2b: Column, certificate: Column) -> Column:
     return is_b2b.cast("boolean") & is_blank(certificate)
 
 
-def zero_tax_in_taxable_state(tax: Column, state: Column) -> Column:
-    return (F.coalesce(tax, F.lit(0)) == 0) & code(state).isin(zero_tax_states())
+def in_taxable_state(state_column: str) -> Column:
+    """As SQL text, because each literal of a long list costs a round trip to the JVM."""
+    listed = ", ".join(map(sql_literal, zero_tax_states()))
+    return F.expr(f"upper(trim({state_column})) IN ({listed})")
 
 
-def zero_tax_order(tax: Column, state: Column, financial_status: Column) -> Column:
+def zero_tax_in_taxable_state(tax: Column, state_column: str) -> Column:
+    return (F.coalesce(tax, F.lit(0)) == 0) & in_taxable_state(state_column)
+
+
+def zero_tax_order(tax: Column, state_column: str, financial_status: Column) -> Column:
     """An order that was never settled is not expected to carry tax."""
-    return zero_tax_in_taxable_state(tax, state) & financial_status.isin(*SETTLED_ORDER_STATUSES)
+    return zero_tax_in_taxable_state(tax, state_column) & financial_status.isin(*SETTLED_ORDER_STATUSES)
 
 
 def succeeded(charges: DataFrame) -> DataFrame:
@@ -57,7 +64,7 @@ def stage_charges(raw: DataFrame) -> DataFrame:
         is_blank(F.col("billing_state")).alias("is_missing_state"),
         is_blank(F.col("billing_zip")).alias("is_missing_zip"),
         missing_certificate(F.col("is_b2b"), F.col("exemption_cert_id")).alias("is_b2b_missing_cert"),
-        zero_tax_in_taxable_state(tax, F.col("billing_state")).alias("is_zero_tax_taxable_state"),
+        zero_tax_in_taxable_state(tax, "billing_state").alias("is_zero_tax_taxable_state"),
     )
 
 

@@ -66,7 +66,7 @@ UNIFIED_COLUMNS = (
 
 
 def _slim(df: DataFrame, computed: dict[str, Column]) -> DataFrame:
-    return df.select(*[computed.get(name, F.col(name)).alias(name) for name in _SLIM])
+    return df.select(*[computed[name].alias(name) if name in computed else name for name in _SLIM])
 
 
 def slim_charges(charges: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ def slim_orders(orders: DataFrame) -> DataFrame:
             "is_b2b": F.lit(False),
             "exemption_cert_id": F.lit(None).cast("string"),
             "is_b2b_missing_cert": F.lit(False),
-            "is_zero_tax_taxable_state": zero_tax_order(tax, F.col("billing_state"), F.col("financial_status")),
+            "is_zero_tax_taxable_state": zero_tax_order(tax, "billing_state", F.col("financial_status")),
         },
     )
 
@@ -121,7 +121,8 @@ def widen(slim: DataFrame, *extra: str) -> DataFrame:
         "is_refund": F.lit(False),
         "parent_txn_id": F.lit(None).cast("string"),
     }
-    return slim.select(*[computed.get(name, F.col(name)).alias(name) for name in (*UNIFIED_COLUMNS, *extra)])
+    names = (*UNIFIED_COLUMNS, *extra)
+    return slim.select(*[computed[name].alias(name) if name in computed else name for name in names])
 
 
 def canonical_rows(charges: DataFrame, orders: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from salestax_spark.functions.dates import as_date
 from salestax_spark.operators import checks, issues, nexus, report, staging, unify
 from salestax_spark.sources import flatten, readers, reference_data, schemas
-from salestax_spark.sources.tables import FolderStore
+from salestax_spark.sources.tables import FolderStore, register_views
 
 
 @dataclass(frozen=True)
@@ -31,6 +31,7 @@ class Inputs:
 
 RAW_CHARGES, RAW_ORDERS, RAW_REFUNDS = "raw_stripe_charges", "raw_shopify_orders", "raw_stripe_refunds"
 THRESHOLDS, MERCHANTS = "state_nexus_thresholds", "merchants"
+STG_CHARGES, STG_ORDERS, STG_REFUNDS = "stg_stripe_charges", "stg_shopify_orders", "stg_stripe_refunds"
 UNIFIED, ISSUES_MART, NEXUS_MART = "int_unified_transactions", "fct_data_issues", "fct_nexus_exposure"
 ORPHANS, COUNTS, CHECKS, KPIS, REPORT = (
     "orphan_refund_counts",
@@ -57,6 +58,16 @@ def load_raw(spark: SparkSession, inputs: Inputs, store) -> dict[str, DataFrame]
     return {name: store.replace(name, df) for name, df in sources.items()}
 
 
+def staged(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The staging layer as lazy DataFrames over the raw tables."""
+    charges = staging.stage_charges(raw[RAW_CHARGES])
+    return {
+        STG_CHARGES: charges,
+        STG_ORDERS: staging.stage_orders(raw[RAW_ORDERS]),
+        STG_REFUNDS: staging.stage_refunds(raw[RAW_REFUNDS], charges),
+    }
+
+
 def transform(
     raw: Mapping[str, DataFrame], store, as_of: dt.date | str | None = None, months: int = 12, null_link: str = "collapse"
 ) -> dict[str, DataFrame]:
@@ -86,8 +97,12 @@ def run(
     months: int = 12,
     null_link: str = "collapse",
     store=None,
+    views: bool = False,
 ) -> dict[str, DataFrame]:
-    """Full refresh of every table below ``location`` (or in ``store``) and of the report folder."""
+    """Full refresh of every table below ``location`` (or in ``store``) and of the report folder.
+
+    With ``views`` all tables and the staging layer can afterwards be queried in SQL by name.
+    """
     store = store or FolderStore(spark, location)
     raw = load_raw(spark, inputs, store)
     tables = transform(raw, store, as_of, months, null_link)
@@ -95,4 +110,6 @@ def run(
         raw[MERCHANTS], tables[ISSUES_MART], tables[NEXUS_MART], tables[COUNTS], tables[CHECKS]
     )
     report.write_report(lines, f"{location.rstrip('/')}/{REPORT}")
+    if views:
+        register_views({**raw, **staged(raw), **tables})
     return {**raw, **tables}

@@ -6,6 +6,8 @@ the stages before it to run again.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +49,29 @@ class CatalogStore:
         raise LookupError(f"table not found: {name}")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names in spark.checkpoint.dir; a temporary one in local mode only."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="salestax-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
+
+
+def write_once(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the scratch folder and read back: several consumers then share one computation.
+
+    Parquet rather than a checkpoint, so that each consumer still reads only its columns. A fresh folder per
+    call; the files are the caller's or the cluster's to clear, as with checkpoints.
+    """
+    path = f"{scratch_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def register_views(tables: dict[str, DataFrame]) -> None:
     """Make DataFrames reachable from SQL under their names."""
     for name, df in tables.items():

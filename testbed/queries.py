@@ -12,6 +12,7 @@ from salestax_spark.functions.money import cents_to_units
 from salestax_spark.functions.text import surrogate_key, truthy
 from salestax_spark.operators import checks, issues, nexus, report, staging, unify
 from salestax_spark.sources import flatten, reference_data, schemas
+from salestax_spark.sources.tables import write_once
 from testbed import oracle_text as sql
 from testbed import projection as raw
 from testbed.oracle_text import AS_IS, CHECKED, MARTS, SCALED, STAGED, UNIFIED, oracle
@@ -41,6 +42,12 @@ def epochs(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+MART_INPUT = (
+    *["merchant_id", "currency", "is_refund", "occurred_at", "billing_state", "billing_country", "subtotal_usd"],
+    *["tax_collected_usd", "is_missing_state", "is_missing_zip", "is_b2b_missing_cert", "is_zero_tax_taxable_state"],
+)
+
+
 class Layers:
     """The raw, staged and derived DataFrames for one data folder, built when asked for."""
 
@@ -76,6 +83,11 @@ class Layers:
     def unified(self) -> DataFrame:
         return unify.unified_transactions(self.charges, self.orders)
 
+    def share_unified(self) -> Layers:
+        """For queries that build several marts: what they need of the unified set is computed once."""
+        self.unified = write_once(self.unified.select(*MART_INPUT), "unified")
+        return self
+
     @cached_property
     def sales(self) -> DataFrame:
         return nexus.state_sales(self.unified, AS_OF)
@@ -590,7 +602,7 @@ def check_totals(spark: SparkSession, sf: str) -> DataFrame:
     )
 )
 def merchant_kpis(spark: SparkSession, sf: str) -> DataFrame:
-    layers = Layers(spark, sf)
+    layers = Layers(spark, sf).share_unified()
     return report.merchant_kpis(layers.merchants, layers.issues, layers.nexus_scaled, layers.counts)
 
 
@@ -626,14 +638,40 @@ def ranked_nexus(spark: SparkSession, sf: str) -> DataFrame:
     return report.ranked_nexus(Layers(spark, sf).nexus_scaled)
 
 
-@query()
+def _json(columns: str) -> str:
+    pairs = ", ".join(f"'{name}': {name}" for name in columns.replace(" ", "").split(","))
+    return f"CAST(to_json({{{pairs}}}) AS VARCHAR)"
+
+
+@query(oracle(f"SELECT {_json(NEXUS_OUT)} AS record FROM nexus", STAGED, UNIFIED, MARTS, AS_IS))
 def mart_json_records(spark: SparkSession, sf: str) -> DataFrame:
     return report.json_records(Layers(spark, sf).nexus)
 
 
-@query()
+@query(
+    oracle(
+        f"""SELECT section, 1 AS part, record,
+          CASE WHEN record = min(record) OVER (PARTITION BY section) THEN record ELSE ',' || record END AS line
+        FROM (
+          SELECT 1 AS section, {_json("id,name")} AS record FROM merchants
+          UNION ALL SELECT 2, {_json("merchant_id,issue_type,issue_count,severity,recommended_action")} FROM issues
+          UNION ALL SELECT 3, {_json(NEXUS_OUT)} FROM nexus
+          UNION ALL SELECT 4, {_json("merchant_id,total_transactions")} FROM txn_counts
+          UNION ALL SELECT 5, {_json("test_name,status")} FROM checked
+        )
+        UNION ALL SELECT 0, 0, '', '{{"generated_at": "{AS_OF}T00:00:00+00:00",'
+        UNION ALL SELECT s, 0, '', '"' || key || '": [' FROM
+          (VALUES (1, 'merchants'), (2, 'data_issues'), (3, 'nexus_exposure'), (4, 'transaction_counts'), (5, 'dbt_test_results')) v(s, key)
+        UNION ALL SELECT s, 2, '', CASE s WHEN 5 THEN ']}}' ELSE '],' END FROM range(1, 6) r(s)""",
+        STAGED,
+        UNIFIED,
+        MARTS,
+        AS_IS,
+        CHECKED,
+    )
+)
 def report_document(spark: SparkSession, sf: str) -> DataFrame:
-    layers = Layers(spark, sf)
+    layers = Layers(spark, sf).share_unified()
     return report.report_lines(
         layers.merchants, layers.issues, layers.nexus, layers.counts, layers.checks, generated_at=f"{AS_OF}T00:00:00+00:00"
     )

@@ -129,6 +129,8 @@ def test_suite(data):
         checks.CHECK_TAX_NO_STATE: (1, "failed"),
         checks.CHECK_ZERO_TAX: (1, "failed"),
     }
+    behind = checks.violating_rows(data["charges"], data["merchants"], staging.stage_refunds(data["refunds"], data["charges"]))
+    assert {name: df.count() for name, df in behind.items()} == {r.test_name: r.violations for r in rows}
     assert rows[0].label == "B2b Missing Exemption Cert"
     totals = checks.check_totals(results).first()
     assert (totals.passed, totals.failed) == (1, 5)

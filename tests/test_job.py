@@ -54,8 +54,15 @@ def test_full_run(spark, delivered, tmp_path):
     assert [t["test_name"] for t in document["dbt_test_results"]] == sorted(CHECKS)
     assert sum(r["total_transactions"] for r in document["transaction_counts"]) == 1522
 
-    again = run(spark, delivered, str(tmp_path), as_of=projection.AS_OF)
+    again = run(spark, delivered, str(tmp_path), as_of=projection.AS_OF, views=True)
     assert again[job.UNIFIED].count() == 1522
+    counted = spark.sql(
+        "SELECT (SELECT count(*) FROM stg_stripe_refunds WHERE is_orphan_refund) AS orphans,"
+        " (SELECT sum(issue_count) FROM fct_data_issues WHERE issue_type = 'orphan_refund') AS counted"
+    ).first()
+    assert counted.orphans == counted.counted == 94
+    for name in (*job.staged(again), *again):
+        spark.catalog.dropTempView(name)
 
 
 def test_catalog_run(spark, delivered, tmp_path):

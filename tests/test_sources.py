@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from salestax_spark.sources import flatten, readers, schemas
 from salestax_spark.sources import reference_data as ref
-from salestax_spark.sources.tables import CatalogStore, FolderStore, register_views
+from salestax_spark.sources.tables import CatalogStore, FolderStore, register_views, scratch_folder, write_once
 
 CHARGE = {
     "id": "c1", "object": "charge", "merchant_id": "m", "amount": 100, "currency": "usd", "status": "succeeded", "created": 5,
@@ -134,3 +134,34 @@ def test_views(spark):
     register_views({"merchant_view": ref.merchant_table(spark)})
     assert spark.sql("SELECT count(*) AS n FROM merchant_view").first().n == 5
     spark.catalog.dropTempView("merchant_view")
+
+
+def test_write_once_cuts_the_plan_and_keeps_the_rows(spark):
+    df = spark.range(100).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    written = write_once(df, "counts")
+    assert sorted(map(tuple, written.collect())) == sorted(map(tuple, df.collect()))
+    assert written.dtypes == df.dtypes
+    assert "Exchange" not in written._jdf.queryExecution().executedPlan().toString()
+    assert scratch_folder(spark) == scratch_folder(spark)
+
+
+class _Context:
+    def __init__(self, master, conf=None):
+        self.master, self._conf = master, conf or {}
+
+    def getConf(self):
+        return self._conf
+
+    def getCheckpointDir(self):
+        return None
+
+
+class _Session:
+    def __init__(self, *args):
+        self.sparkContext = _Context(*args)
+
+
+def test_scratch_folder_of_a_cluster_comes_from_its_setting():
+    assert scratch_folder(_Session("yarn", {"spark.checkpoint.dir": "hdfs://shared/x/"})) == "hdfs://shared/x"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_folder(_Session("yarn"))
