@@ -56,10 +56,11 @@ def mark_existing(rows: DataFrame, key: str, ids: DataFrame, flag: str, hot_rows
 def count_missing(rows: DataFrame, group: str, key: str, ids: DataFrame, count_name: str) -> DataFrame:
     """Per ``group``: how many rows have a key that ``ids`` does not hold (a NULL key never exists).
 
-    Rows are counted per group and key before the anti join, so no hot key reaches it; of the NULL key
-    there is one row per group.
+    Rows are counted per group and key before the join, so no hot key reaches it; of the NULL key there is
+    one row per group. An outer join, because the optimizer moves an anti join below the aggregation and
+    would bring the hot keys back into the shuffle.
     """
     counted = rows.groupBy(group, key).agg(F.count("*").alias("_rows"))
-    present = ids.select(F.col(ids.columns[0]).alias("_key")).distinct()
-    absent = counted.join(present, F.col(key) == F.col("_key"), "left_anti")
-    return absent.groupBy(group).agg(F.sum("_rows").alias(count_name))
+    present = ids.select(F.col(ids.columns[0]).alias("_key"), F.lit(True).alias("_found")).distinct()
+    joined = counted.join(present, F.col(key) == F.col("_key"), "left")
+    return joined.where(F.col("_found").isNull()).groupBy(group).agg(F.sum("_rows").alias(count_name))

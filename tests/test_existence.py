@@ -71,3 +71,11 @@ def test_hot_rows_never_reach_the_shuffled_join(spark, skewed):
     assert "TakeOrderedAndProject(limit=500" in plan
     assert plan.count("BroadcastHashJoin [key") == 2
     assert plan.count("SortMergeJoin [key") == 1
+
+
+def test_rows_are_counted_before_the_join(skewed):
+    rows, ids = skewed
+    counted = existence.count_missing(rows, "grp", "key", ids, "n")
+    lines = counted._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(i for i, line in enumerate(lines) if "Join " in line)
+    assert "Aggregate [grp" in lines[join + 1]
