@@ -22,11 +22,15 @@ HOT_KEYS = 500
 HOT_ROWS = 10_000
 
 
+def _present(ids: DataFrame) -> DataFrame:
+    """Each id once, with a marker. The marker comes last, so that the ids stay partitioned by key alone."""
+    return ids.select(F.col(ids.columns[0]).alias("_key")).distinct().withColumn("_found", F.lit(True))
+
+
 def known_keys(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     """Distinct non-NULL keys of ``rows`` with their row count and whether ``ids`` holds them."""
     counted = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_rows"))
-    present = ids.select(F.col(ids.columns[0]).alias("_key")).distinct().withColumn("_found", F.lit(True))
-    return counted.join(present, "_key", "left").select(
+    return counted.join(_present(ids), "_key", "left").select(
         "_key", "_rows", F.coalesce(F.col("_found"), F.lit(False)).alias("_found")
     )
 
@@ -61,6 +65,5 @@ def count_missing(rows: DataFrame, group: str, key: str, ids: DataFrame, count_n
     would bring the hot keys back into the shuffle.
     """
     counted = rows.groupBy(group, key).agg(F.count("*").alias("_rows"))
-    present = ids.select(F.col(ids.columns[0]).alias("_key"), F.lit(True).alias("_found")).distinct()
-    joined = counted.join(present, F.col(key) == F.col("_key"), "left")
+    joined = counted.join(_present(ids), F.col(key) == F.col("_key"), "left")
     return joined.where(F.col("_found").isNull()).groupBy(group).agg(F.sum("_rows").alias(count_name))

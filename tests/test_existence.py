@@ -79,3 +79,13 @@ def test_rows_are_counted_before_the_join(skewed):
     lines = counted._jdf.queryExecution().optimizedPlan().toString().splitlines()
     join = next(i for i, line in enumerate(lines) if "Join " in line)
     assert "Aggregate [grp" in lines[join + 1]
+
+
+def test_ids_are_shuffled_once(spark, skewed):
+    rows, ids = skewed
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = existence.count_missing(rows, "grp", "key", ids, "n")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(_key") == 1
