@@ -29,7 +29,8 @@ def missing_billing() -> Column:
 
 
 def default_currencies(merchants: DataFrame) -> DataFrame:
-    return merchants.select(F.col("id").alias("merchant_id"), F.col("currency").alias("default_currency"))
+    """One row per merchant; ids are expected to be unique."""
+    return merchants.select(F.col("id").alias("merchant_id"), F.lower("currency").alias("default_currency"))
 
 
 def with_currency_flag(rows: DataFrame, merchants: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ class Inputs:
         return readers.read_documents(spark, getattr(self, name), schema, self.formats.get(name, "json_array"))
 
 
+# Table names, which existing queries refer to.
 RAW_CHARGES, RAW_ORDERS, RAW_REFUNDS = "raw_stripe_charges", "raw_shopify_orders", "raw_stripe_refunds"
 THRESHOLDS, MERCHANTS = "state_nexus_thresholds", "merchants"
 STG_CHARGES, STG_ORDERS, STG_REFUNDS = "stg_stripe_charges", "stg_shopify_orders", "stg_stripe_refunds"

@@ -1,4 +1,8 @@
-"""Declared schemas (DDL) of the source documents and of the reference tables."""
+"""Declared schemas (DDL) of the source documents and of the reference tables.
+
+Free-form metadata values and order money are read as text, since feeds deliver them with and without quotes;
+flattening and staging cast them strictly.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,7 @@ CHARGE_DOCUMENT = """
     billing_details struct<
         email: string, name: string,
         address: struct<city: string, country: string, line1: string, postal_code: string, state: string>>,
-    metadata struct<shopify_order_id: string, is_b2b: boolean, exemption_cert_id: string>,
+    metadata struct<shopify_order_id: string, is_b2b: string, exemption_cert_id: string>,
     tax_amount_collected bigint, source_store string
 """
 

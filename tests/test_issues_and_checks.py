@@ -78,6 +78,12 @@ def test_advice_can_be_replaced(data):
     assert {r.recommended_action for r in mart.collect()} == {"call us"}
 
 
+def test_merchant_currency_in_any_case(spark, data):
+    merchants = spark.createDataFrame([("merch_acme_foods", "A", "EUR", [])], data["merchants"].schema)
+    off = issues.currency_mismatch_rows(data["charges"].where("merchant_id = 'merch_acme_foods'"), merchants)
+    assert {r.currency for r in off.collect()} == {"usd"}
+
+
 def test_transaction_counts(data):
     counts = by(issues.transaction_counts(data["unified"]), "merchant_id", "total_transactions")
     assert counts == {"merch_acme_foods": 8, "merch_surf_co": 2, "unknown": 1, None: 1}

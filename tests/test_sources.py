@@ -38,6 +38,14 @@ def test_json_array_to_flat_charges(spark, tmp_path):
     assert second.id == "c2" and second.billing_state is None and second.is_b2b is None
 
 
+def test_quoted_and_bare_metadata_values(spark, tmp_path):
+    docs = [{"id": str(i), "metadata": {"is_b2b": v, "shopify_order_id": 77}} for i, v in enumerate([True, "true", "false", None])]
+    df = readers.read_documents(spark, _json(tmp_path / "m.json", docs), schemas.CHARGE_DOCUMENT)
+    rows = flatten.flatten_charges(df).orderBy("id").collect()
+    assert [r.is_b2b for r in rows] == [True, True, False, None]
+    assert {r.shopify_order_id for r in rows} == {"77"}
+
+
 def test_json_lines_and_parquet_give_the_same(spark, tmp_path):
     lines = tmp_path / "c.jsonl"
     lines.write_text("\n".join(json.dumps({**CHARGE, "id": f"c{i}"}) for i in range(5)))
