@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import re
-import shutil
 import statistics
 import sys
 import tempfile
@@ -75,15 +74,12 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     actions = {name: (lambda name=name: drain(spark, name)) for name in HEADLINE}
-    scratch = tempfile.mkdtemp(prefix="bench-")
-    try:
+    with tempfile.TemporaryDirectory(prefix="bench-") as scratch:
         raw = raw_tables(spark, scratch)
         actions["raw_to_marts"] = lambda: transform(raw, FolderStore(spark, scratch), projection.AS_OF)
         for action in actions.values():
             action()
         seconds = {name: statistics.median(timed(action) for _ in range(ROUNDS)) for name, action in actions.items()}
-    finally:
-        shutil.rmtree(scratch, ignore_errors=True)
     sf = re.search(r"sf([\d.]+)", SF_DIR)
     print(
         json.dumps(

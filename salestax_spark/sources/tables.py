@@ -52,7 +52,7 @@ class CatalogStore:
 def scratch_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir; a temporary one in local mode only."""
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")

@@ -153,23 +153,19 @@ def test_write_once_cuts_the_plan_and_keeps_the_rows(spark):
     assert scratch_folder(spark) == scratch_folder(spark)
 
 
-class _Context:
-    def __init__(self, master, conf=None):
-        self.master, self._conf = master, conf or {}
+class _Cluster:
+    """A session as scratch_folder sees it: settings, and a context that is not local."""
 
-    def getConf(self):
-        return self._conf
+    master = "yarn"
+
+    def __init__(self, settings):
+        self.conf, self.sparkContext = settings, self
 
     def getCheckpointDir(self):
         return None
 
 
-class _Session:
-    def __init__(self, *args):
-        self.sparkContext = _Context(*args)
-
-
 def test_scratch_folder_of_a_cluster_comes_from_its_setting():
-    assert scratch_folder(_Session("yarn", {"spark.checkpoint.dir": "hdfs://shared/x/"})) == "hdfs://shared/x"
+    assert scratch_folder(_Cluster({"spark.checkpoint.dir": "hdfs://shared/x/"})) == "hdfs://shared/x"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_folder(_Session("yarn"))
+        scratch_folder(_Cluster({}))
