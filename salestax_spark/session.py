@@ -1,4 +1,4 @@
-"""Session defaults. Anything the cluster has already set is left alone."""
+"""Session defaults. Anything set before, at submit time or in the session, is left alone."""
 
 from __future__ import annotations
 
@@ -14,14 +14,13 @@ DEFAULTS = {
 
 
 def build_session(app_name: str = "salestax", **overrides: str) -> SparkSession:
-    """Session for a job; submit-time settings win over DEFAULTS, ``overrides`` win over both."""
-    from pyspark import SparkConf
-
+    """Session for a job; ``overrides`` win over submit-time settings, those over DEFAULTS."""
     builder = SparkSession.builder.appName(app_name)
-    submitted = SparkConf()
-    for key, value in DEFAULTS.items():
-        if not submitted.contains(key):
-            builder = builder.config(key, value)
     for key, value in overrides.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    already_set = spark.conf.getAll
+    for key, value in DEFAULTS.items():
+        if key not in already_set:
+            spark.conf.set(key, value)
+    return spark
