@@ -38,6 +38,11 @@ def truthy(value: Column) -> Column:
     return F.coalesce(as_text(value).isin("true", "1"), F.lit(False))
 
 
+def text_or(value: Column, fallback: Column) -> Column:
+    """NULL and empty text give the fallback."""
+    return F.when(value != "", value).otherwise(fallback)
+
+
 def title_from_slug(slug: Column) -> Column:
     return F.initcap(F.replace(slug, F.lit("_"), F.lit(" ")))
 
@@ -48,10 +53,8 @@ def check_label(test_name: Column) -> Column:
 
 def state_label(name: Column, state_code: Column) -> Column:
     with_name = F.format_string("%s (%s)", name, state_code)
-    bare_code = F.when(state_code != "", state_code).otherwise(F.lit("—"))
-    return F.when(name != "", with_name).otherwise(bare_code)
+    return F.when(name != "", with_name).otherwise(text_or(state_code, F.lit("—")))
 
 
 def tier_label(tier: Column) -> Column:
-    words = F.replace(F.lower(tier), F.lit("_"), F.lit(" "))
-    return F.when(words != "", words).otherwise(F.lit("—"))
+    return text_or(F.replace(F.lower(tier), F.lit("_"), F.lit(" ")), F.lit("—"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salestax_spark.functions.dates import utc_now_iso
-from salestax_spark.functions.text import state_label, tier_label, title_from_slug, truthy
+from salestax_spark.functions.text import state_label, text_or, tier_label, title_from_slug, truthy
 from salestax_spark.sources.inline import inline_table
 from salestax_spark.sources.reference_data import ISSUES
 
@@ -67,8 +67,8 @@ def ranked_issues(issues: DataFrame) -> DataFrame:
         F.rank().over(Window.partitionBy("merchant_id").orderBy(*order)).alias("issue_rank"),
         issue_label(F.col("issue_type")).alias("issue_label"),
         "issue_count",
-        F.lower(F.coalesce("severity", F.lit("medium"))).alias("severity"),
-        F.coalesce("recommended_action", F.lit("—")).alias("recommended_action"),
+        F.lower(text_or(F.col("severity"), F.lit("medium"))).alias("severity"),
+        text_or(F.col("recommended_action"), F.lit("—")).alias("recommended_action"),
     )
 
 

@@ -62,6 +62,13 @@ def test_ranked_issues(spark):
     ]
 
 
+@pytest.mark.parametrize("blank", ["", None])
+def test_ranked_issues_fill_gaps(spark, blank):
+    issues = spark.createDataFrame([("m", "x", 1, blank, blank)], ISSUE)
+    row = report.ranked_issues(issues).first()
+    assert (row.severity, row.recommended_action) == ("medium", "—")
+
+
 def test_ranked_nexus(spark):
     states = _nexus(
         spark,
