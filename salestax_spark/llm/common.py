@@ -62,7 +62,7 @@ class Scratch:
 
 
 def prefix_sums(
-    df: DataFrame, group: str, key: str, ties: list[str], value: Column, name: str, key_bits: int, chunk_bits: int = 12
+    df: DataFrame, group: str, key: str, ties: list[str], value: Column, name: str, key_bits: int, chunk_bits: int = 10
 ) -> DataFrame:
     """``df`` plus ``name``: the sum of ``value`` over the rows before this one in its group, by ``key`` and ``ties``.
 
