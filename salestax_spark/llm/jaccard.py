@@ -16,7 +16,7 @@ are therefore taken where documents can be near each other, in these steps:
    triangle inequality asks, and each window is joined in blocks. This is complete for every distribution.
 
 Joins emit a spanning forest of the links they find, not all pairs. Regions are dealt by plain joins of written tables, so
-Spark can split hot ones.
+Spark can split hot ones. Tables of shingles and texts grow with the input and are merged, never broadcast, at any size.
 
 Sizes: the list of frequent shingles has at most FREQUENT entries. Nothing else is gathered on the driver but counts.
 
@@ -207,7 +207,7 @@ def _joined(tasks: DataFrame, texts: DataFrame, words: int, percent: int, distan
         names = ["region", "a", "b", "distance"]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    loaded = tasks.join(texts, "cls").select("bucket", "region", "cls", "first", "_raw")
+    loaded = tasks.join(texts.hint("merge"), "cls").select("bucket", "region", "cls", "first", "_raw")
     return loaded.groupBy("bucket").applyInArrow(join, "region long, a long, b long, distance double")
 
 
@@ -312,7 +312,7 @@ def jaccard_classes(
 
     prefixes = _prefixes(keyed, text_column, words, percent, frequent)
     shared = scratch.write("shared", _shared(prefixes))
-    members = scratch.write("members", prefixes.join(shared.select("shingle"), "shingle"))
+    members = scratch.write("members", prefixes.join(shared.select("shingle").hint("merge"), "shingle"))
     scratch.release()
     # Fewer classes make fewer shared shingles, so this is done twice.
     for step in range(2):
@@ -332,7 +332,7 @@ def jaccard_classes(
     scratch.release()
     wanted = regions.select("cls").distinct()
     chosen = rows.join(wanted, "cls").groupBy("cls").agg(F.min("row").alias("_row"))
-    texts = keyed.select("_row", _raw(text_column)).join(scratch.write("chosen", chosen), "_row").select("cls", "_raw")
+    texts = keyed.select("_row", _raw(text_column)).join(scratch.write("chosen", chosen).hint("merge"), "_row").select("cls", "_raw")
     texts = scratch.write("texts", texts.dropDuplicates(["cls"]))
     scratch.release()
 
