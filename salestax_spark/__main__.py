@@ -16,7 +16,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         parser.add_argument(f"--{source}", required=True, help=f"path of the {source} documents")
     parser.add_argument("--thresholds", help="threshold CSV (default: built-in table)")
     parser.add_argument("--merchants", help="merchant JSON lines (default: built-in table)")
-    parser.add_argument("--format", choices=FORMATS, default="json_array", help="format of the documents")
+    parser.add_argument("--format", choices=FORMATS, default="json_lines", help="format of the documents; a json_array file is read by one task")
     parser.add_argument("--out", required=True, help="shared folder for tables and report")
     parser.add_argument("--as-of", help="last day of the trailing window, YYYY-MM-DD (default: today, UTC)")
     parser.add_argument("--months", type=int, default=12)

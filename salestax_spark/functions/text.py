@@ -34,8 +34,9 @@ def surrogate_key(tag: Column, identifier: Column) -> Column:
 
 
 def truthy(value: Column) -> Column:
-    """TRUE, 1, "true" and "1" count as true; everything else, NULL included, as false."""
-    return F.coalesce(as_text(value).isin("true", "1"), F.lit(False))
+    """TRUE, the number 1, "true" and "1" count as true; everything else, NULL included, as false."""
+    number = F.typeof(value).rlike("^(float|double|decimal)")
+    return F.coalesce(F.when(number, value.try_cast("double") == 1).otherwise(as_text(value).isin("true", "1")), F.lit(False))
 
 
 def text_or(value: Column, fallback: Column) -> Column:

@@ -1,16 +1,11 @@
 """Existence lookups that stay even when one key owns a large share of the rows.
 
-``mark_existing`` is NOT EXISTS / EXISTS as a column. A plain join would send every row of a hot key
-(or of the NULL key) to one task. Here
+``mark_existing`` is NOT EXISTS / EXISTS as a column:
 
-* keys are counted first, so the lookup itself sees each key once on either side;
-* keys with at least HOT_ROWS rows, and of those the HOT_KEYS most frequent, travel to the rows in a
-  broadcast, so their rows are never shuffled. A key outside that list owns fewer than HOT_ROWS rows or
-  less than 1/HOT_KEYS of all rows;
-* rows with a NULL key have a known answer and skip the lookup;
-* all other rows meet the looked-up keys in an ordinary shuffled join.
-
-Every row takes exactly one of the three ways, so the result is complete whatever the distribution.
+* distinct keys are looked up, so the lookup sees each key once on either side, and the keys found are written;
+* the rows meet the written keys in one left join. Both sides are plain shuffles, so Spark splits the tasks of any hot key,
+  however many there are; nothing is broadcast by hand and no key is treated in a special way;
+* rows with a NULL key have a known answer and skip the join.
 """
 
 from __future__ import annotations
@@ -18,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 500
-HOT_ROWS = 10_000
+from salestax_spark.sources.tables import write_once
 
 
 def _present(ids: DataFrame) -> DataFrame:
@@ -27,34 +21,14 @@ def _present(ids: DataFrame) -> DataFrame:
     return ids.select(F.col(ids.columns[0]).alias("_key")).distinct().withColumn("_found", F.lit(True))
 
 
-def known_keys(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """Distinct non-NULL keys of ``rows`` with their row count and whether ``ids`` holds them."""
-    counted = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_rows"))
-    return counted.join(_present(ids), "_key", "left").select(
-        "_key", "_rows", F.coalesce(F.col("_found"), F.lit(False)).alias("_found")
-    )
-
-
-def mark_existing(rows: DataFrame, key: str, ids: DataFrame, flag: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``rows`` plus a boolean column: does ``rows[key]`` occur in the single column of ``ids``?"""
-    answers = known_keys(rows, key, ids)
-    hot = answers.where(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows"), "_key").limit(HOT_KEYS)
-    hot = hot.select(F.col("_key").alias("_hot_key"), F.col("_found").alias("_hot_found"))
-    # "_rows" is always positive. Naming it keeps both uses of the answers alike, so the shuffles behind
-    # them run once and are reused.
-    cold = answers.select(F.col("_key").alias("_cold_key"), (F.col("_found") & (F.col("_rows") > 0)).alias("_cold_found"))
-
-    tagged = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    settled = F.col(key).isNull() | F.col("_hot_found").isNotNull()
-    direct = tagged.where(settled).select(
-        *rows.columns, F.coalesce(F.col("_hot_found"), F.lit(False)).alias(flag)
-    )
-    looked_up = (
-        tagged.where(~settled)
-        .join(cold, F.col(key) == F.col("_cold_key"), "left")
-        .select(*rows.columns, F.col("_cold_found").alias(flag))
+def mark_existing(rows: DataFrame, key: str, ids: DataFrame, flag: str) -> DataFrame:
+    """``rows`` plus a boolean column: does ``rows[key]`` occur in the single column of ``ids``? Runs the lookup of the keys."""
+    keyed = rows.where(F.col(key).isNotNull())
+    found = write_once(keyed.select(F.col(key).alias("_key")).distinct().join(_present(ids), "_key"), "existing")
+    looked_up = keyed.join(found, F.col(key) == F.col("_key"), "left").select(
+        *rows.columns, F.coalesce(F.col("_found"), F.lit(False)).alias(flag)
     )
-    return direct.unionByName(looked_up)
+    return looked_up.unionByName(rows.where(F.col(key).isNull()).select(*rows.columns, F.lit(False).alias(flag)))
 
 
 def count_missing(rows: DataFrame, group: str, key: str, ids: DataFrame, count_name: str) -> DataFrame:

@@ -29,8 +29,8 @@ def missing_billing() -> Column:
 
 
 def default_currencies(merchants: DataFrame) -> DataFrame:
-    """One row per merchant; ids are expected to be unique."""
-    return merchants.select(F.col("id").alias("merchant_id"), F.lower("currency").alias("default_currency"))
+    """One row per merchant; of a repeated id the first currency by alphabet counts, so that no row is doubled."""
+    return merchants.groupBy(F.col("id").alias("merchant_id")).agg(F.min(F.lower("currency")).alias("default_currency"))
 
 
 def with_currency_flag(rows: DataFrame, merchants: DataFrame) -> DataFrame:

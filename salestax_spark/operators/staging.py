@@ -68,6 +68,12 @@ def stage_charges(raw: DataFrame) -> DataFrame:
     )
 
 
+def order_time(text: Column) -> Column:
+    """A time with a full date in front; anything less (``12:30``, ``2024-05``) is NULL, not a guess."""
+    dated = text.cast("string").rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ].*)?\s*$")
+    return F.when(dated, text.try_cast("timestamp"))
+
+
 def stage_orders(raw: DataFrame) -> DataFrame:
     """Orders of every status. An unreadable creation time is NULL; unreadable money stops the run."""
     return raw.select(
@@ -75,7 +81,7 @@ def stage_orders(raw: DataFrame) -> DataFrame:
         "name",
         "merchant_id",
         "source_store",
-        F.col("created_at").try_cast("timestamp").alias("created_at"),
+        order_time(F.col("created_at")).alias("created_at"),
         lower_text(F.col("currency")).alias("currency"),
         *[F.col(money).cast("double").alias(money) for money in ("total_price", "subtotal_price", "total_tax")],
         "taxes_included",

@@ -38,7 +38,10 @@ _CARRIED = (
     "is_b2b_missing_cert",
     "is_zero_tax_taxable_state",
 )
-_TIE_BREAK = ("occurred_at", "merchant_id", "subtotal_usd", "tax_collected_usd")
+_TIE_BREAK = (
+    *["occurred_at", "merchant_id", "subtotal_usd", "tax_collected_usd", "currency", "billing_state", "billing_zip"],
+    *["billing_country", "is_b2b_missing_cert", "is_zero_tax_taxable_state", "source_store"],
+)
 _SLIM = ("source_rank", "order_id", "link_id", *_CARRIED)
 
 UNIFIED_COLUMNS = (
@@ -133,8 +136,8 @@ def canonical_rows(charges: DataFrame, orders: DataFrame) -> DataFrame:
 def rank_links(slim: DataFrame) -> DataFrame:
     """Adds ``rn``, the position within the link key: payments first, then id as text.
 
-    _TIE_BREAK decides between records that repeat an id. It is kept to columns the marts need anyway,
-    so that unused columns are still pruned in front of the shuffle.
+    _TIE_BREAK decides between records that repeat an id, by every column that reaches a mart, so that neither
+    the order of arrival nor a task run twice changes the result. Other columns are still pruned in front of the shuffle.
     """
     preference = [F.col("source_rank"), F.col("order_id").asc_nulls_last(), *map(F.col, _TIE_BREAK)]
     return slim.withColumn("rn", F.row_number().over(Window.partitionBy("link_id").orderBy(*preference)))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from salestax_spark.sources import schemas
 
@@ -14,10 +16,13 @@ def read_documents(spark: SparkSession, path: str, schema: str, fmt: str = "json
 
     A JSON array has to be parsed from its first byte, so one array file is one task. For large feeds
     deliver many files, JSON lines (splittable) or Parquet (splittable, nested columns pruned).
-    Malformed records stop the run instead of turning into silent NULLs.
+    Malformed records stop the run instead of turning into silent NULLs. Parquet keeps the types it was written with
+    and has the fields of all files; a declared column that no file has is NULL.
     """
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        found = spark.read.option("mergeSchema", True).parquet(path)
+        missing = [f for f in StructType.fromDDL(schema) if f.name not in found.columns]
+        return found.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
     if fmt not in FORMATS:
         raise ValueError(f"unknown source format {fmt!r}, expected one of {FORMATS}")
     return (
@@ -29,8 +34,13 @@ def read_documents(spark: SparkSession, path: str, schema: str, fmt: str = "json
 
 
 def read_thresholds(spark: SparkSession, path: str) -> DataFrame:
-    """Threshold CSV with a header; empty cells are NULL, TRUE/FALSE booleans."""
-    return spark.read.schema(schemas.THRESHOLDS).option("header", True).csv(path)
+    """Threshold CSV as text, columns by the names in its header; empty cells are NULL. ``clean_thresholds`` types it."""
+    found = spark.read.option("header", True).csv(path)
+    missing = [name for name in schemas.THRESHOLD_COLUMNS if name not in found.columns]
+    if required := [name for name in missing if name not in schemas.THRESHOLD_OPTIONAL]:
+        raise ValueError(f"threshold file {path} lacks {', '.join(required)}")
+    columns = [F.lit(None).cast("string").alias(name) if name in missing else F.col(name) for name in schemas.THRESHOLD_COLUMNS]
+    return found.select(*columns)
 
 
 def read_merchants(spark: SparkSession, path: str) -> DataFrame:

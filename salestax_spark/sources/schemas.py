@@ -44,6 +44,8 @@ THRESHOLD_COLUMNS = {
     "notes": "string",
 }
 
+THRESHOLD_OPTIONAL = ("state_name", "notes")
+
 MERCHANT_COLUMNS = {
     "id": "string",
     "name": "string",

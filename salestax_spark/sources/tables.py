@@ -65,11 +65,14 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the scratch folder and read back: several consumers then share one computation.
 
     Parquet rather than a checkpoint, so that each consumer still reads only its columns. A fresh folder per
-    call; the files are the caller's or the cluster's to clear, as with checkpoints.
+    call, deleted when the session ends.
     """
-    path = f"{scratch_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(location)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:

@@ -27,12 +27,13 @@ def _brute_force(rows, ids):
     return {r.row: r.key in known for r in rows.collect()}
 
 
-@pytest.mark.parametrize("hot_rows", [1, 100, 10**9])
-@pytest.mark.parametrize("hot_keys", [1, 500])
-def test_every_way_gives_the_same_flags(spark, skewed, monkeypatch, hot_rows, hot_keys):
-    monkeypatch.setattr(existence, "HOT_KEYS", hot_keys)
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_flags_equal_brute_force(spark, skewed, monkeypatch, broadcast):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     rows, ids = skewed
-    marked = existence.mark_existing(rows, "key", ids, "found", hot_rows=hot_rows).collect()
+    marked = existence.mark_existing(rows, "key", ids, "found").collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(marked) == rows.count()
     assert {r.row: r.found for r in marked} == _brute_force(rows, ids)
 
@@ -40,16 +41,15 @@ def test_every_way_gives_the_same_flags(spark, skewed, monkeypatch, hot_rows, ho
 def test_hot_key_that_does_not_exist(skewed):
     rows, ids = skewed
     ids = ids.where("id <> 'hot'")
-    marked = existence.mark_existing(rows, "key", ids, "found", hot_rows=10).collect()
+    marked = existence.mark_existing(rows, "key", ids, "found").collect()
     assert {r.row: r.found for r in marked} == _brute_force(rows, ids)
 
 
 def test_identical_rows_all_stay(spark):
     rows = spark.range(300).select(F.lit(1).alias("row"), F.lit("hot").alias("key"))
     ids = spark.createDataFrame([("hot",), ("hot",)], "id string")
-    for hot_rows in (1, 10**9):
-        marked = existence.mark_existing(rows, "key", ids, "found", hot_rows=hot_rows)
-        assert marked.where("found").count() == 300
+    marked = existence.mark_existing(rows, "key", ids, "found")
+    assert marked.where("found").count() == 300
 
 
 def test_count_missing(skewed):
@@ -60,17 +60,33 @@ def test_count_missing(skewed):
     assert {r.grp: r.n for r in got.collect()} == dict(want)
 
 
-def test_hot_rows_never_reach_the_shuffled_join(spark, skewed):
-    rows, ids = skewed
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_tasks_of_hot_keys_are_split(spark):
+    """More than 500 keys, three of them with most rows; the final plan splits their tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    key = F.when(F.col("id") % 10 < 9, F.concat(F.lit("hot"), F.col("id") % 3)).otherwise(F.concat(F.lit("k"), F.col("id") % 997))
+    rows = spark.range(120_000).repartition(6).select("id", key.alias("key"))
+    ids = spark.range(500).select(F.concat(F.lit("k"), F.col("id")).alias("id")).union(spark.createDataFrame([("hot1",)], "id string"))
     try:
-        marked = existence.mark_existing(rows, "key", ids, "found", hot_rows=100)
-        plan = marked._jdf.queryExecution().executedPlan().toString()
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        marked = existence.mark_existing(rows, "key", ids, "found")
+        counted = marked.groupBy("key", "found").count()
+        got = {(r.key, r.found): r["count"] for r in counted.collect()}
+        plan = counted._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "TakeOrderedAndProject(limit=500" in plan
-    assert plan.count("BroadcastHashJoin [key") == 2
-    assert plan.count("SortMergeJoin [key") == 1
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    known = {r.id for r in ids.collect()}
+    want = collections.Counter((r.key, r.key in known) for r in rows.collect())
+    assert got == dict(want)
+    assert "skew=true" in plan
 
 
 def test_rows_are_counted_before_the_join(skewed):

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from salestax_spark.operators import nexus
 from salestax_spark.sources import flatten, readers, schemas
 from salestax_spark.sources import reference_data as ref
 from salestax_spark.sources.tables import CatalogStore, FolderStore, register_views, scratch_folder, write_once
@@ -169,3 +170,33 @@ def test_scratch_folder_of_a_cluster_comes_from_its_setting():
     assert scratch_folder(_Cluster({"spark.checkpoint.dir": "hdfs://shared/x/"})) == "hdfs://shared/x"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_folder(_Cluster({}))
+
+
+def test_threshold_columns_go_by_name(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text(
+        "state_name,state_code,has_sales_tax,threshold_logic,transaction_threshold,sales_threshold_usd\n"
+        "Oregon,OR, FALSE ,,200.0, 1000 \n"
+    )
+    row = nexus.clean_thresholds(readers.read_thresholds(spark, str(path))).first()
+    assert row.state_code == "OR" and row.has_sales_tax == "false"
+    assert row.transaction_threshold == 200 and row.sales_threshold_usd == 1000
+
+
+def test_threshold_file_without_a_needed_column(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("state_code,state_name\nOR,Oregon\n")
+    with pytest.raises(ValueError, match="has_sales_tax"):
+        readers.read_thresholds(spark, str(path))
+
+
+def test_parquet_files_with_other_columns_lose_nothing(spark, tmp_path):
+    path = str(tmp_path / "charges")
+    one = "id string, amount bigint, metadata struct<shopify_order_id: string, is_b2b: boolean>"
+    two = "id string, merchant_id string, metadata struct<shopify_order_id: string, exemption_cert_id: string>"
+    spark.createDataFrame([("a", 5, ("1", True))], one).write.mode("append").parquet(path)
+    spark.createDataFrame([("b", "m", ("2", "C"))], two).write.mode("append").parquet(path)
+    docs = readers.read_documents(spark, path, schemas.CHARGE_DOCUMENT, "parquet")
+    flat = {r.id: r for r in flatten.flatten_charges(docs).collect()}
+    assert flat["b"].exemption_cert_id == "C" and flat["a"].exemption_cert_id is None
+    assert flat["a"].amount == 5 and flat["b"].merchant_id == "m" and flat["a"].currency is None

@@ -1,0 +1,46 @@
+"""Times, truth values, ties and repeated merchants: what must not be guessed or left to chance."""
+
+import datetime as dt
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from builders import raw_charges, raw_orders
+from salestax_spark.functions.text import truthy
+from salestax_spark.operators import issues, staging, unify
+
+TIMES = ("12:30", "2024", "2024-05", "T10:00", " 2024-01-15 ", "2024-01-15", "2024-01-15T10:00:00Z", "2024-01-15 10:00:00", "x", "")
+
+
+def test_order_times_are_those_of_another_engine(spark):
+    rows = spark.createDataFrame([(t,) for t in TIMES], "t string").select("t", staging.order_time(F.col("t")).alias("at")).collect()
+    for r in rows:
+        want = duckdb.execute("SELECT try_cast(? AS TIMESTAMP)", [r.t]).fetchone()[0]
+        assert r.at == want, r.t
+
+
+def test_time_with_offset(spark):
+    df = spark.createDataFrame([("2024-01-15T12:00:00+0000",)], "t string").select(staging.order_time(F.col("t")).alias("at"))
+    assert df.first().at == dt.datetime(2024, 1, 15, 12)
+
+
+@pytest.mark.parametrize(("value", "want"), [("1.0D", True), ("2.0D", False), ("1", True), ("true", True), ("'1'", True), ("'1.0'", False)])
+def test_truthy(spark, value, want):
+    assert spark.range(1).select(truthy(F.expr(value)).alias("v")).first().v is want
+
+
+def test_repeated_charge_has_one_winner_in_any_order(spark):
+    charges = [{"id": "c1", "billing_state": "CA"}, {"id": "c1", "billing_state": "NY"}]
+    orders = staging.stage_orders(raw_orders(spark))
+    winners = {
+        unify.unified_transactions(staging.stage_charges(raw_charges(spark, *c)), orders).first().billing_state
+        for c in (charges, charges[::-1])
+    }
+    assert len(winners) == 1
+
+
+def test_repeated_merchant_does_not_double_rows(spark):
+    merchants = spark.createDataFrame([("m", "eur"), ("m", "usd")], "id string, currency string")
+    rows = spark.createDataFrame([("m", "gbp")], "merchant_id string, currency string")
+    assert issues.with_currency_flag(rows, merchants).count() == 1
