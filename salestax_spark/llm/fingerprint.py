@@ -105,7 +105,7 @@ def likeness(one: Column, other: Column) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
 def fingerprints(docs: DataFrame, keys: list[str], texts: list[str], samples: int = SAMPLES) -> DataFrame:

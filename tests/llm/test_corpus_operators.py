@@ -187,7 +187,9 @@ def _deleted(texts, least):
             for e in range(s + 1, len(doc) + 1):
                 run = tuple(w for _, w in doc[s:e])
                 if sum(len(w.split()) for w in run) >= least and seen.setdefault(run, (d, s)) < (d, s):
-                    gone |= {(d, p) for p in range(doc[s][0], doc[e - 1][0] + 1)}
+                    gone |= {(d, i) for i in range(s, e)}
+    # Blank lines between two deleted lines go as well.
+    gone = {(d, p) for d, i in gone for p in range(lines[d][i][0], lines[d][i + 1][0] if (d, i + 1) in gone else lines[d][i][0] + 1)}
     return ["\n".join(w for p, w in enumerate(t.split("\n")) if (d, p) not in gone) if t is not None else None for d, t in enumerate(texts)]
 
 
@@ -229,7 +231,7 @@ def test_packing_batches(spark, docs):
 def test_mix(spark):
     rng = random.Random(4)
     rows = [(i, rng.choice(["a", "b", "c", None]), "w " * rng.randrange(0, 30)) for i in range(400)]
-    rows += [(1000, "a", None), (1001, "z", ""), (None, "b", "w w"), (5, "a", "w w w"), (5, "a", "w w w")]
+    rows += [(1000, "a", None), (1001, "z", ""), (None, "b", "w w"), (2000, "a", "w w w"), (2000, "a", "w w w")]
     df = spark.createDataFrame(rows, "doc_id long, source string, text string")
     got = mixing.mix_report(df).collect()
     assert len(got) == len(rows)
@@ -243,7 +245,8 @@ def test_mix(spark):
     assert abs(sum(targets.values()) - 1.5 * total) < 1e-6
     assert all(abs(taken[s] - targets[s]) <= 30 and targets[s] <= 2 * sizes[s] for s in sizes)
     mix = mixing.mix_sources(df, shards=4, blocks_per_shard=8)
-    assert sorted(mix.drop("position").collect()) == sorted(mixing.mix_sources(df, shards=4, blocks_per_shard=8).drop("position").collect())
+    again = mixing.mix_sources(df, shards=4, blocks_per_shard=8)
+    assert sorted(map(str, mix.drop("position").collect())) == sorted(map(str, again.drop("position").collect()))
     assert mixing.mix_report(df.limit(0)).count() == 0
 
 
