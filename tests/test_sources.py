@@ -107,9 +107,9 @@ def test_threshold_csv(spark, tmp_path):
     path.write_text(f"{header}\nCA,California,TRUE,500000,,,x\nAK,Alaska,FALSE,,,,\nNY,New York,true,500000,100,AND,\"a, b\"\n")
     rows = {r.state_code: tuple(r)[2:] for r in readers.read_thresholds(spark, str(path)).collect()}
     assert rows == {
-        "CA": (True, 500000.0, None, None, "x"),
-        "AK": (False, None, None, None, None),
-        "NY": (True, 500000.0, 100, "AND", "a, b"),
+        "CA": ("TRUE", "500000", None, None, "x"),
+        "AK": ("FALSE", None, None, None, None),
+        "NY": ("true", "500000", "100", "AND", "a, b"),
     }
 
 
