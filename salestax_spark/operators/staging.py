@@ -70,7 +70,7 @@ def stage_charges(raw: DataFrame) -> DataFrame:
 
 def order_time(text: Column) -> Column:
     """A time with a full date in front; anything less (``12:30``, ``2024-05``) is NULL, not a guess."""
-    dated = text.cast("string").rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ].*)?\s*$")
+    dated = text.cast("string").rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ]\d{1,2}:\d{2}.*)?$")
     return F.when(dated, text.try_cast("timestamp"))
 
 
