@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import logging
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +24,10 @@ CHECK_ZERO_TAX = "assert_no_zero_tax_in_taxable_state"
 CHECKS = (CHECK_B2B, CHECK_CURRENCY, CHECK_DUPLICATES, CHECK_ORPHANS, CHECK_TAX_NO_STATE, CHECK_ZERO_TAX)
 PASSED, FAILED = "passed", "failed"
 
+LOG = logging.getLogger(__name__)
+#: What a query that fails raises.
+ERRORS = (PySparkException, Py4JJavaError)
+
 
 def b2b_without_certificate(charges: DataFrame) -> DataFrame:
     return charges.where("is_b2b_missing_cert")
@@ -95,6 +103,30 @@ def violation_counts(charges: DataFrame, merchants: DataFrame, orphan_counts: Da
     return counted.withColumn("violations", F.coalesce("violations", F.lit(0)).cast("bigint"))
 
 
+def counted_one_by_one(charges: DataFrame, merchants: DataFrame, orphan_counts: DataFrame) -> DataFrame:
+    """``violation_counts`` with a job per check, for when the single pass fails: a check that errors has a NULL count."""
+
+    def number(rows: DataFrame) -> DataFrame:
+        return rows.agg(F.count("*"))
+
+    counts = {
+        CHECK_B2B: lambda: number(b2b_without_certificate(charges)),
+        CHECK_CURRENCY: lambda: number(off_currency(charges, merchants)),
+        CHECK_DUPLICATES: lambda: number(cross_store_duplicates(charges)),
+        CHECK_ORPHANS: lambda: orphan_counts.agg(F.coalesce(F.sum(ORPHAN_REFUND.issue_type), F.lit(0))),
+        CHECK_TAX_NO_STATE: lambda: number(tax_without_state(charges)),
+        CHECK_ZERO_TAX: lambda: number(untaxed_in_taxable_state(charges)),
+    }
+    rows = []
+    for name, count in counts.items():
+        try:
+            rows.append((name, count().first()[0]))
+        except ERRORS as error:
+            LOG.warning("%s could not be counted and has failed: %s", name, error)
+            rows.append((name, None))
+    return inline_table(charges.sparkSession, {"test_name": "string", "violations": "bigint"}, rows)
+
+
 def check_results(violations: DataFrame, expected: tuple[str, ...] = CHECKS) -> DataFrame:
     """Status of every expected check; one that has no count has failed. A failing check stops nothing."""
     names = inline_table(violations.sparkSession, {"test_name": "string"}, [(name,) for name in expected])

@@ -52,9 +52,10 @@ def missing_billing_rows(unified: DataFrame) -> DataFrame:
 
 
 def merchant_profile(unified: DataFrame, merchants: DataFrame) -> DataFrame:
-    """Per merchant: rows of each family. One shuffle, of pre-aggregated rows."""
+    """Per merchant: rows of each family, and of all sales. One shuffle, of pre-aggregated rows."""
     by_currency = unified.groupBy("merchant_id", lower_text(F.col("currency")).alias("currency")).agg(
         F.count("*").alias("rows"),
+        F.count_if(~F.col("is_refund")).alias("total_transactions"),
         F.count_if(missing_billing()).alias(MISSING_BILLING.issue_type),
         F.count_if(F.col("is_zero_tax_taxable_state")).alias(ZERO_TAX.issue_type),
         F.count_if(F.col("is_b2b_missing_cert")).alias(B2B_CERTIFICATE.issue_type),
@@ -66,6 +67,7 @@ def merchant_profile(unified: DataFrame, merchants: DataFrame) -> DataFrame:
         .agg(
             *[F.sum(f.issue_type).alias(f.issue_type) for f in families],
             F.sum(F.when(F.col("is_currency_mismatch"), F.col("rows")).otherwise(0)).alias(CURRENCY.issue_type),
+            F.sum("total_transactions").alias("total_transactions"),
         )
     )
 
@@ -100,11 +102,14 @@ def data_issues(
 
     ``orphan_counts`` comes from ``orphan_refund_counts``, which the check suite uses as well.
     """
+    return issues_of_profile(merchant_profile(unified, merchants), orphan_counts, catalogue)
+
+
+def issues_of_profile(profile: DataFrame, orphan_counts: DataFrame, catalogue: tuple[Issue, ...] = ISSUES) -> DataFrame:
+    """``data_issues`` from a merchant profile that is there already."""
     of_refunds = tuple(f for f in catalogue if f.issue_type == ORPHAN_REFUND.issue_type)
     of_transactions = tuple(f for f in catalogue if f.issue_type != ORPHAN_REFUND.issue_type)
-    return _issue_rows(merchant_profile(unified, merchants), of_transactions).unionByName(
-        _issue_rows(orphan_counts, of_refunds)
-    )
+    return _issue_rows(profile, of_transactions).unionByName(_issue_rows(orphan_counts, of_refunds))
 
 
 def issue_family(issues: DataFrame, family: Issue) -> DataFrame:
@@ -115,3 +120,8 @@ def transaction_counts(unified: DataFrame) -> DataFrame:
     return (
         unified.where(~F.col("is_refund")).groupBy("merchant_id").agg(F.count("*").alias("total_transactions"))
     )
+
+
+def counts_of_profile(profile: DataFrame) -> DataFrame:
+    """``transaction_counts`` from a merchant profile, without another scan of the transactions."""
+    return profile.where(F.col("total_transactions") > 0).select("merchant_id", "total_transactions")

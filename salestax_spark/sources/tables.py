@@ -61,18 +61,22 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def write_once(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the scratch folder and read back: several consumers then share one computation.
-
-    Parquet rather than a checkpoint, so that each consumer still reads only its columns. A fresh folder per
-    call, deleted when the session ends.
-    """
+def write_files(df: DataFrame, label: str, fmt: str = "parquet", **options: object) -> str:
+    """Path of a fresh folder below the scratch folder that holds ``df``; deleted when the session ends."""
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.format(fmt).options(**options).save(path)
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     location.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(location)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def write_once(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the scratch folder and read back: several consumers then share one computation.
+
+    Parquet rather than a checkpoint, so that each consumer still reads only its columns.
+    """
+    return df.sparkSession.read.schema(df.schema).parquet(write_files(df, label))
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:

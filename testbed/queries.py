@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from salestax_spark.functions.money import cents_to_units
 from salestax_spark.functions.text import surrogate_key, truthy
 from salestax_spark.operators import checks, issues, nexus, report, staging, unify
-from salestax_spark.sources import flatten, reference_data, schemas
-from salestax_spark.sources.tables import write_once
+from salestax_spark.sources import flatten, readers, reference_data, schemas
+from salestax_spark.sources.tables import write_files, write_once
 from testbed import oracle_text as sql
 from testbed import projection as raw
 from testbed.oracle_text import AS_IS, CHECKED, MARTS, SCALED, STAGED, UNIFIED, oracle
@@ -147,10 +147,16 @@ def flatten_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(oracle(f"SELECT {CHARGE_FLAT} FROM raw_charges"))
 def src_json(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents through JSON text and back, with the declared schema."""
-    text = raw.charge_documents(spark, sf).select(F.to_json(F.struct("*")).alias("line"))
-    parsed = text.select(F.from_json("line", schemas.CHARGE_DOCUMENT, {"mode": "FAILFAST"}).alias("doc"))
-    return flatten.flatten_charges(parsed.select("doc.*"))
+    """Documents delivered as JSON lines and read with the declared schema."""
+    path = write_files(raw.charge_documents(spark, sf), "charges", "json")
+    return flatten.flatten_charges(readers.read_documents(spark, path, schemas.CHARGE_DOCUMENT, "json_lines"))
+
+
+@query(oracle(f"SELECT {CHARGE_FLAT} FROM raw_charges"))
+def src_parquet(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents delivered as Parquet."""
+    path = write_files(raw.charge_documents(spark, sf), "charges")
+    return flatten.flatten_charges(readers.read_documents(spark, path, schemas.CHARGE_DOCUMENT, "parquet"))
 
 
 @query(
@@ -176,9 +182,11 @@ def conform_refunds(spark: SparkSession, sf: str) -> DataFrame:
     )
 )
 def seed_thresholds(spark: SparkSession, sf: str) -> DataFrame:
-    """Threshold table with the number of charges each jurisdiction has."""
+    """Threshold table, delivered as CSV, with the number of charges each jurisdiction has."""
     by_state = Layers(spark, sf).charges.groupBy(F.col("billing_state").alias("state_code")).agg(F.count("*").alias("charges"))
-    table = reference_data.threshold_table(spark).drop("notes")
+    path = write_files(reference_data.threshold_table(spark), "thresholds", "csv", header=True)
+    cleaned = nexus.clean_thresholds(readers.read_thresholds(spark, path))
+    table = cleaned.withColumn("has_sales_tax", F.col("has_sales_tax").cast("boolean"))
     return table.join(by_state, "state_code", "left").fillna(0, ["charges"])
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from builders import formatted_plan
 from salestax_spark import Inputs, run
 from salestax_spark.__main__ import parse
+from salestax_spark.operators import checks, issues
 from salestax_spark.operators.checks import CHECKS
 from salestax_spark.plans import job
 from salestax_spark.sources.tables import CatalogStore
@@ -65,6 +66,25 @@ def test_full_run(spark, delivered, tmp_path):
         spark.catalog.dropTempView(name)
 
 
+def test_a_check_that_errors_fails_alone(spark, delivered, tmp_path, monkeypatch):
+    monkeypatch.setattr(checks, "_tax_without_state", lambda: F.raise_error(F.lit("broken")).isNull())
+    tables = run(spark, delivered, str(tmp_path), as_of=projection.AS_OF)
+    got = {r.test_name: (r.violations, r.status) for r in tables[job.CHECKS].collect()}
+    monkeypatch.undo()
+    want = {r.test_name: (r.violations, r.status) for r in QUERIES["check_results"](spark, SF).collect()}
+    assert got.pop(checks.CHECK_TAX_NO_STATE) == (None, "failed")
+    want.pop(checks.CHECK_TAX_NO_STATE)
+    assert got == want
+    document = json.loads("".join(p.read_text() for p in sorted((tmp_path / job.REPORT).glob("part-*"))))
+    assert {t["test_name"]: t["status"] for t in document["dbt_test_results"]}[checks.CHECK_TAX_NO_STATE] == "failed"
+
+
+def test_counts_come_from_the_profile(spark, delivered, tmp_path):
+    tables = run(spark, delivered, str(tmp_path), as_of=projection.AS_OF)
+    _same(tables[job.COUNTS], issues.transaction_counts(tables[job.UNIFIED]))
+    _same(tables[job.ISSUES_MART], issues.data_issues(tables[job.UNIFIED], tables[job.MERCHANTS], tables[job.ORPHANS]))
+
+
 def test_catalog_run(spark, delivered, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS taxdb")
     store = CatalogStore(spark, "taxdb")
