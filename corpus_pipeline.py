@@ -6,7 +6,8 @@
 4. mix: sources are mixed to their target weights; a document taken twice is there twice.
 5. packing: length buckets and batches, one row per document of the mix, without its text.
 
-NULL texts go in the first stage; empty tables pass through all stages; other columns of the input stay up to the last stage.
+NULL texts go in the first stage; empty tables pass through all stages; other columns of the input stay up to the last stage,
+whatever they are called; there, a column called like one of packing's is replaced by it.
 """
 
 from __future__ import annotations
@@ -15,19 +16,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salestax_spark.llm import jaccard, language, linededup, mixing, packing
-from salestax_spark.llm.common import Scratch, table, word_count
+from salestax_spark.llm.common import Scratch, set_aside, table, word_count
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs, named = set_aside(docs, language.OUTPUTS)
     judged = language.identify_languages(docs, language.learn_dictionaries(docs))
-    return judged.where(~F.col("lang_rejected")).select(*docs.columns)
+    return judged.where(~F.col("lang_rejected")).select(*named.values())
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs, named = set_aside(docs, linededup.OUTPUTS)
     cut = linededup.delete_repeated_runs(docs)
     left = cut.where((F.size("removed_runs") == 0) | (word_count(F.col("text")) > 0))
     length = F.when(F.size("removed_runs") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    return left.select(*[length.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    if "n_chars" in named:
+        named["n_chars"] = length.alias("n_chars")
+    return left.select(*named.values())
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +40,8 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(docs).select(*docs.columns)
+    docs, named = set_aside(docs, mixing.OUTPUTS)
+    return mixing.mix_sources(docs).select(*named.values())
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

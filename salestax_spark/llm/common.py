@@ -31,6 +31,28 @@ def permutation_key(seed: int, *columns: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
+def row_hash(*columns: Column, seed: int = 0) -> Column:
+    """64 bits that name a row. xxhash64 skips NULLs, so which columns are NULL is hashed as well."""
+    return F.xxhash64(F.lit(seed), *columns, *[c.isNull() for c in columns])
+
+
+def set_aside(docs: DataFrame, taken: tuple[str, ...], needed: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, Column]]:
+    """Columns of ``docs`` that no operator reads get other names if theirs is one of ``taken`` or starts with an underscore.
+
+    Returns the table and, by its name, each column as it was called. Columns in ``needed`` stay. Without a clash the table is as before.
+    """
+    names = {}
+    for i, c in enumerate(docs.columns):
+        clash = c not in needed and (c.lower() in taken or c.startswith("_"))
+        names[c] = f"__aside_{i}" if clash else c
+    return docs.withColumnsRenamed({c: n for c, n in names.items() if c != n}), {c: F.col(f"`{n}`").alias(c) for c, n in names.items()}
+
+
+def others(named: dict[str, Column], outputs: tuple[str, ...]) -> list[Column]:
+    """Columns of set_aside that no output column replaces."""
+    return [column for name, column in named.items() if name.lower() not in outputs]
+
+
 class Scratch:
     """Tables one operator writes below the shared folder: they cut lineage and survive lost executors.
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salestax_spark.llm.common import Scratch
+from salestax_spark.llm.common import Scratch, row_hash, set_aside
 from salestax_spark.llm.components import connected_components
 from salestax_spark.llm.shingles import Shingler
 
@@ -49,7 +49,7 @@ RING = 0.05  # slack on window borders against rounding, as a share of the dista
 
 
 def row_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
-    return F.xxhash64(F.col(id_column), F.col(text_column))
+    return row_hash(F.col(id_column), F.col(text_column))
 
 
 def _class(shingles: np.ndarray) -> int:
@@ -287,6 +287,7 @@ def keep_one_of_each_group(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
     """``docs`` without all but one document of each group: the one with the smallest id stays. Repeated rows become one."""
+    docs, named = set_aside(docs, (), (id_column, text_column))
     groups = jaccard_classes(docs, id_column, text_column, words, percent)
     # The group's id is that of one of its rows; of several rows with that id and other texts, one stays.
     linked = groups.where("n_shingles > 0").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -294,7 +295,7 @@ def keep_one_of_each_group(
     wordless = groups.where("n_shingles = 0").select("_row")
     keyed = docs.withColumn("_row", row_key(id_column, text_column))
     kept = keyed.join(winners.unionByName(wordless).distinct(), "_row", "left_semi")
-    return kept.dropDuplicates(["_row"]).select(*docs.columns)
+    return kept.dropDuplicates(["_row"]).select(*named.values())
 
 
 def jaccard_classes(

@@ -12,7 +12,7 @@ MAX_LANGUAGES * SAMPLE_TEXTS * STRETCH characters; more languages are an error,
 
 Cases: a NULL text, or one without a letter, is ``und`` with score 0 and rejected. With one learned language every other text
 is of that language with score 1; with none everything is ``und``. Equal sizes are decided by the language's name. Repeated rows are
-judged alike. Empty tables give empty results; extra columns are carried along.
+judged alike. Empty tables give empty results; extra columns are carried along, but for those called like an output column, which replaces them.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from salestax_spark.llm.common import others, set_aside
+
 BLOCK = 4096
 LEVEL = 5
 SAMPLE_TEXTS = 256
@@ -33,6 +35,7 @@ STRETCH = 1024
 DICTIONARY = 65_536
 MAX_LANGUAGES = 256
 UNDETERMINED = "und"
+OUTPUTS = ("lang_pred", "score", "lang_rejected")
 
 
 def letters_only(text: Column) -> Column:
@@ -104,9 +107,10 @@ def identify_languages(docs: DataFrame, dictionaries: dict[str, bytes], text_col
             yield pd.DataFrame([(UNDETERMINED, 0.0) if t is None else decide(bytes(t)) for t in texts], columns=["lang", "score"])
 
     lettered = F.when(F.col(text_column).rlike(r"\p{L}"), F.encode(letters_only(F.col(text_column)), "UTF-8"))
+    docs, named = set_aside(docs, OUTPUTS, (text_column,))
     judged = docs.withColumn("_judged", judge(lettered))
     return judged.select(
-        *docs.columns,
+        *others(named, OUTPUTS),
         F.col("_judged.lang").alias("lang_pred"),
         F.col("_judged.score").alias("score"),
         ((F.col("_judged.lang") == UNDETERMINED) | (F.col("_judged.score") < min_margin)).alias("lang_rejected"),

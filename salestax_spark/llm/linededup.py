@@ -16,7 +16,7 @@ split the tasks of a line that a third of all documents hold.
 
 Cases: a NULL text stays NULL, an empty one empty. A run may repeat within one document. Rows with equal id and text are one document and
 lose the same lines. NULL ids come first. Lines are compared as they are, end of line is ``\\n``. Blank lines go only inside a
-deleted run. Empty tables give empty results; extra columns are carried along; names that start with an underscore are reserved.
+deleted run. Empty tables give empty results; extra columns are carried along, but for those called like an output column, which replaces them.
 """
 
 from __future__ import annotations
@@ -27,13 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from salestax_spark.llm.common import WORD, Scratch
+from salestax_spark.llm.common import WORD, Scratch, others, row_hash, set_aside
 
 MIN_WORDS = 20
+OUTPUTS = ("n_lines", "removed_runs")
 
 
 def _document_key(id_column: str, text_column: str) -> Column:
-    return F.xxhash64(F.col(id_column), F.col(text_column))
+    return row_hash(F.col(id_column), F.col(text_column))
 
 
 def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -144,6 +145,7 @@ def delete_repeated_runs(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
     """``docs`` with the text shortened, plus n_lines and removed_runs (array of from_line, to_line)."""
+    docs, named = set_aside(docs, OUTPUTS, (id_column, text_column))
     runs = repeated_runs(docs, id_column, text_column, min_words)
     by_document = runs.groupBy("_doc").agg(F.array_sort(F.collect_list(F.struct("from_line", "to_line"))).alias("_runs"))
     keyed = docs.withColumn("_doc", _document_key(id_column, text_column))
@@ -162,7 +164,7 @@ def delete_repeated_runs(
     cut = joined.withColumn("_lines", lines).withColumn("_removed", removed)
     text = F.when(F.col("_runs").isNull(), F.col(text_column)).otherwise(shorter)
     return cut.select(
-        *[text.alias(c) if c == text_column else F.col(c) for c in docs.columns],
+        *others(named | {text_column: text.alias(text_column)}, OUTPUTS),
         F.coalesce(F.size("_lines"), F.lit(0)).alias("n_lines"),
         F.col("_removed").alias("removed_runs"),
     )

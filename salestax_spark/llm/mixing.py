@@ -16,7 +16,7 @@ is made of narrow rows; texts are joined to it once, at the end.
 
 Cases: a NULL text has size 0 and is never taken. A NULL source is a source of its own, ranked last. Rows with the same id
 are separate documents; NULL ids are allowed. An empty table, or one without any word, gives an empty mix. Extra columns of the
-input are carried along; names that start with an underscore are reserved.
+input are carried along, but for those called like an output column, which replaces them.
 """
 
 from __future__ import annotations
@@ -25,12 +25,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from salestax_spark.llm.common import Scratch, permutation_key, prefix_sums, word_count
+from salestax_spark.llm.common import Scratch, others, permutation_key, prefix_sums, row_hash, set_aside, word_count
 
 WEIGHTS = (5, 2, 1)
 KEY_BITS = 60
+OUTPUTS = ("size", "pass", "shard", "position")
 
 
 def _source_key(source: str) -> Column:
@@ -128,8 +130,13 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 
 def _row_key(docs: DataFrame) -> list[Column]:
     """128 bits that name a row; equal rows have equal names."""
-    columns = [f.name for f in docs.schema.fields if f.dataType.typeName() != "map"]
-    return [F.xxhash64(*columns).alias("_row"), F.xxhash64(F.lit(1), *columns).alias("_row2")]
+
+    def plain(name: str, kind: T.DataType) -> Column:
+        nested = isinstance(kind, (T.ArrayType, T.MapType, T.StructType))
+        return F.to_json(F.struct(F.col(f"`{name}`")), {"ignoreNullFields": "false"}) if nested else F.col(f"`{name}`")
+
+    columns = [plain(f.name, f.dataType) for f in docs.schema.fields]
+    return [row_hash(*columns).alias("_row"), row_hash(*columns, seed=1).alias("_row2")]
 
 
 class Mix:
@@ -186,8 +193,10 @@ class Mix:
 
 def mix_sources(docs: DataFrame, **options) -> DataFrame:
     """The mix (options as in Mix): the columns of ``docs`` plus size, pass, shard and position; texts are shuffled once."""
+    needed = tuple(options.get(f"{c}_column", name) for c, name in (("id", "doc_id"), ("source", "source"), ("text", "text")))
+    docs, named = set_aside(docs, OUTPUTS, needed)
     once = docs.select("*", *_row_key(docs)).dropDuplicates(["_row", "_row2"])
-    return once.join(Mix(docs, **options).plan(), ["_row", "_row2"]).drop("_row", "_row2")
+    return once.join(Mix(docs, **options).plan(), ["_row", "_row2"]).select(*others(named, OUTPUTS), *OUTPUTS)
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:

@@ -9,7 +9,7 @@ all rows; ``token_budget // bucket_length`` consecutive ones make a batch, and o
 
 Cases: a NULL or empty text has length 0 and is packed like any other. A document longer than the budget is a batch of its
 own. Repeated rows are packed each; which of them gets which slot is open. An empty table gives an empty result. Extra columns
-are carried along; names that start with an underscore are reserved.
+are carried along, but for those called like an output column, which replaces them.
 """
 
 from __future__ import annotations
@@ -18,10 +18,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salestax_spark.llm.common import permutation_key, prefix_sums, word_count
+from salestax_spark.llm.common import others, permutation_key, prefix_sums, set_aside, word_count
 
 EXACT = 1024
 STEPS = 512
+OUTPUTS = ("length", "bucket", "bucket_length", "batch", "slot")
 
 
 def length_histogram(lengths: DataFrame) -> DataFrame:
@@ -73,11 +74,14 @@ def pack_documents(
     carry_text: bool = False,
 ) -> DataFrame:
     """Columns of ``docs`` (the text only if asked for) plus length, bucket, bucket_length, batch and slot."""
+    docs, named = set_aside(docs, OUTPUTS, (id_column, text_column))
     length = word_count(F.col(text_column))
     histogram = length_histogram(docs.select(length.alias("_length"))).orderBy("longest").toPandas()
     boundaries = best_boundaries(
         histogram["rows"].to_numpy(dtype=np.float64), histogram["longest"].to_numpy(dtype=np.float64), n_buckets
     )
+    if not carry_text:
+        del named[text_column]
     kept = docs if carry_text else docs.drop(text_column)
     bucket = F.lit(len(boundaries) - 1)
     for k in reversed(range(len(boundaries) - 1)):
@@ -89,7 +93,7 @@ def pack_documents(
     bucket_length = F.get(ends, F.col("bucket"))
     per_batch = F.greatest(F.lit(1), F.floor(F.lit(token_budget) / F.greatest(F.lit(1), bucket_length)))
     return numbered.select(
-        *kept.columns,
+        *others(named, OUTPUTS),
         "length",
         "bucket",
         bucket_length.alias("bucket_length"),

@@ -180,3 +180,66 @@ SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)
   (SELECT count(*) FROM islands x WHERE x.doc_id = d.doc_id)::BIGINT AS n_runs, sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents d LEFT JOIN cut USING (doc_id)
 """
+
+ORACLES["op4_revisit_resolution"] = r"""
+WITH captures AS (
+  SELECT page_id * 5 + k AS record_id, k, k IN (0, 3) AS is_response, length(html) AS size,
+    page_id * 10 + [100000, 50000, 200000, 300000, 400000][k + 1] AS moment,
+    url || CASE WHEN k = 2 THEN '#again' ELSE '' END AS url,
+    CASE WHEN page_id % 3 = 0 AND k >= 3 THEN md5(md5(html) || '+') ELSE md5(html) END AS digest,
+    k = 4 AND page_id % 7 = 0 AS stale
+  FROM pages CROSS JOIN range(5) AS ks(k)
+), parts AS (
+  SELECT *, '"' || CASE WHEN stale THEN md5('stale') ELSE digest END || '"' AS tag,
+    lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme,
+    lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1) AS rest
+  FROM captures
+), named AS (
+  SELECT *, CASE WHEN scheme = '' THEN regexp_extract(url, '^([^#]*)', 1) ELSE scheme || '://'
+      || CASE WHEN scheme = 'http' THEN regexp_replace(host, ':80$', '') WHEN scheme = 'https' THEN regexp_replace(host, ':443$', '') ELSE host END
+      || CASE WHEN rest = '' THEN '/' WHEN starts_with(rest, '?') THEN '/' || rest ELSE rest END END AS canonical_url
+  FROM parts
+), responses AS (
+  SELECT * FROM named WHERE is_response QUALIFY row_number() OVER (PARTITION BY canonical_url, moment ORDER BY record_id DESC) = 1
+), found AS (
+  SELECT v.*, r.record_id AS response_id, r.tag AS r_tag, r.digest AS r_digest, r.moment AS r_at, r.size AS r_size,
+    CASE WHEN r.record_id IS NULL THEN 'no_response'
+      WHEN v.k <> 2 AND v.tag IS NOT NULL THEN CASE WHEN v.tag = r.tag THEN 'resolved' ELSE 'mismatch' END
+      WHEN v.digest IS NOT NULL THEN CASE WHEN v.digest = r.digest THEN 'resolved' ELSE 'mismatch' END
+      ELSE 'unverified' END AS outcome
+  FROM (SELECT * FROM named WHERE NOT is_response) v ASOF LEFT JOIN responses r ON v.canonical_url = r.canonical_url AND v.moment > r.moment
+)
+SELECT record_id, canonical_url, moment::BIGINT AS captured_at, outcome, response_id,
+  CASE WHEN outcome IN ('resolved', 'unverified') THEN r_digest END AS payload_digest,
+  CASE WHEN outcome = 'resolved' THEN concat_ws('&', 'content-length=' || r_size, 'date=' || moment, 'etag=' || tag, 'server=origin')
+    WHEN outcome <> 'no_response' THEN concat_ws('&', 'content-length=' || r_size, 'date=' || r_at, 'etag=' || r_tag, 'server=origin') END AS headers
+FROM found
+"""
+
+ORACLES["op5_jaccard_join"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN coalesce(len(ws), 0) = 0 THEN []::VARCHAR[] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_sort(list_distinct([array_to_string(ws[i : i + 3], ' ') FOR i IN range(1, len(ws) - 2)])) END AS s
+  FROM worded
+), classes AS (
+  SELECT md5(array_to_string(s, chr(10))) AS c, any_value(s) AS s, len(any_value(s)) AS n FROM sets WHERE len(s) > 0 GROUP BY 1
+), shingles AS (
+  SELECT c, n, unnest(s) AS shingle FROM classes
+), edges AS (
+  SELECT a.c AS x, b.c AS y FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.c < b.c
+    AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT c AS node, c AS other FROM classes
+  UNION
+  SELECT r.node, e.other FROM reach r JOIN (SELECT x, y AS other FROM edges UNION ALL SELECT y, x FROM edges) e ON e.x = r.other
+), named AS (
+  SELECT r.node AS c, min(d.doc_id) AS component_id
+  FROM reach r JOIN (SELECT doc_id, md5(array_to_string(s, chr(10))) AS c FROM sets WHERE len(s) > 0) d ON d.c = r.other GROUP BY r.node
+)
+SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(component_id, d.doc_id) AS component_id
+FROM sets d LEFT JOIN named ON len(d.s) > 0 AND named.c = md5(array_to_string(d.s, chr(10)))
+"""

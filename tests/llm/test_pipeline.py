@@ -1,0 +1,147 @@
+"""The corpus pipeline stage by stage against brute force, and extra columns whose names clash with those of the operators."""
+
+import hashlib
+import random
+
+import corpus_pipeline
+import pytest
+import zstandard
+from pyspark.sql import functions as F
+
+from salestax_spark.llm import language, linededup, mixing, packing
+from tests.llm.test_corpus_operators import DE, EN, _deleted, _edited, _groups
+
+CLASHING = (
+    "lang_pred", "score", "lang_rejected", "n_lines", "removed_runs", "size", "pass", "shard", "position", "Length", "bucket",
+    "bucket_length", "batch", "slot", "_row", "_row2", "_doc", "_id", "_judged", "_size", "_perm", "_chunk", "_runs", "cls", "rank",
+)
+
+
+def with_clashes(df):
+    return df.select("*", *[F.concat(F.lit(c + "-"), F.col("doc_id").cast("string")).alias(c) for c in CLASHING])
+
+
+def intact(rows):
+    return all(r[c] == f"{c}-{r.doc_id}" for r in rows for c in CLASHING)
+
+
+@pytest.fixture(scope="module")
+def table(spark, tmp_path_factory):
+    rng = random.Random(11)
+    passage = "\n".join(" ".join(f"licence{rng.randrange(90)}" for _ in range(12)) for _ in range(5))
+    rows = []
+    for i in range(60):
+        base = (EN if i % 2 else DE).split()
+        text = "\n".join(" ".join(rng.choice(base) + rng.choice(["", "s", "t"]) for _ in range(15)) for _ in range(8))
+        rows.append((i, text + ("\n" + passage if i % 5 == 0 else ""), "en" if i % 2 else "de", ["a", "b", None][i % 3]))
+    rows += [(100 + k, _edited(rng, rows[1][1].replace("\n", " ").split(), 2), "en", "b") for k in range(3)]
+    rows += [(200, None, None, "a"), (201, "", None, None), (202, "12 34 !", None, "b"), (203, rows[3][1], None, "a"), (203, rows[3][1], None, "a")]
+    path = str(tmp_path_factory.mktemp("corpus"))
+    df = with_clashes(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long")))
+    df.repartition(3).write.parquet(f"{path}/documents.parquet")
+    return path
+
+
+def sizes(docs):
+    return [len((t or "").split()) for _, t, _ in docs]
+
+
+def brute_mix(docs):
+    """Ids and how often each is taken, from the definition."""
+    sources = sorted({s for _, _, s in docs}, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sources)}
+    size = {s: sum(n for n, d in zip(sizes(docs), docs, strict=True) if d[2] == s) for s in sources}
+    target, open_, left = {}, set(sources), 1.5 * sum(size.values())
+    while open_:
+        unit = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if unit * weight[s] > 2 * size[s]}
+        target |= {s: 2 * size[s] if s in full else unit * weight[s] for s in (full or open_)}
+        left -= sum(2 * size[s] for s in full)
+        open_ = open_ - full if full else set()
+    taken = {}
+    for s in sources:
+        order = sorted(
+            (int(hashlib.md5(f"20|{i}".encode()).hexdigest()[:15], 16), i, n) for n, (i, _, x) in zip(sizes(docs), docs, strict=True) if x == s and n
+        )
+        for again in range(2):
+            before = again * size[s]
+            for _, i, n in order:
+                if before + n / 2 < target[s]:
+                    taken[i] = taken.get(i, 0) + 1
+                before += n
+    return taken
+
+
+def test_stages_equal_brute_force(spark, table, tmp_path):
+    docs = spark.read.parquet(f"{table}/documents.parquet")
+    columns = docs.columns
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, table)
+        out.write.parquet(f"{tmp_path}/{name}")
+        before, docs = docs, spark.read.parquet(f"{tmp_path}/{name}")
+        seen[name] = (before.collect(), docs.collect())
+        if name != "packing":
+            assert docs.columns == columns and intact(seen[name][1]), name
+
+    given, kept = seen["language_id"]
+    dictionaries = language.learn_dictionaries(spark.read.parquet(f"{table}/documents.parquet"))
+    plain = [zstandard.ZstdCompressor(level=5, dict_data=zstandard.ZstdCompressionDict(d, dict_type=1)) for d in dictionaries.values()]
+
+    def leads(text):
+        raw = " ".join(w for w in "".join(c if c.isalpha() else " " for c in text or "").lower().split(" ")).encode()
+        if not raw.strip():
+            return False
+        best, second = sorted(sum(len(c.compress(raw[i : i + 4096])) for i in range(0, len(raw), 4096)) for c in plain)[:2]
+        return (second - best) / second > 0.02  # clearly ahead: such a document must stay
+
+    kept_ids = {r.doc_id for r in kept}
+    assert {200, 201, 202}.isdisjoint(kept_ids) and {r.doc_id for r in given if leads(r.text)} <= kept_ids
+
+    given, kept = ({r.doc_id: r for r in rows} for rows in seen["line_dedup"])
+    ids = sorted(given)
+    want = dict(zip(ids, _deleted([given[i].text for i in ids], 20), strict=True))
+    assert {i: r.text for i, r in kept.items()} == {i: t for i, t in want.items() if t.split() or t == given[i].text}
+    assert all(r.n_chars == len(r.text) for r in kept.values())
+
+    given, kept = ({r.doc_id: r for r in rows} for rows in seen["jaccard_join"])
+    ids = sorted(given)
+    assert sorted(kept) == sorted({ids[g] for g in _groups([given[i].text for i in ids], 5, 80)[1]})
+    assert len(kept) < len(given)
+
+    given, mixed = seen["source_mix"]
+    taken = {}
+    for r in mixed:
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + 1
+    assert taken == brute_mix([(r.doc_id, r.text, r.source) for r in given])
+
+    given, packed = seen["packing"]
+    assert sorted(r.doc_id for r in packed) == sorted(r.doc_id for r in given)
+    assert sorted(r.length for r in packed) == sorted(len(r.text.split()) for r in given)
+    slots = [(r.bucket, r.batch, r.slot) for r in packed]
+    assert len(set(slots)) == len(slots)
+
+
+def test_run_passes_empty_tables(spark, table, tmp_path):
+    spark.read.parquet(f"{table}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_called_like_an_output_are_replaced(spark, docs):
+    df = with_clashes(docs(EN * 9, DE * 9, EN * 9, None, ""))
+    for out, outputs in (
+        (language.identify_languages(df, language.learn_dictionaries(df)), language.OUTPUTS),
+        (linededup.delete_repeated_runs(df), linededup.OUTPUTS),
+        (packing.pack_documents(df), packing.OUTPUTS),
+        (mixing.mix_sources(df), mixing.OUTPUTS),
+    ):
+        assert len({c.lower() for c in out.columns}) == len(out.columns) and set(outputs) <= set(out.columns)
+        for r in out.collect():
+            assert all(r[c] == f"{c}-{r.doc_id}" for c in CLASHING if c.lower() not in outputs)
+
+
+def test_rows_that_differ_by_where_null_is_stay_two(spark):
+    rows = [(1, "a b c", "x", None, {"k": 1}), (1, "a b c", None, "x", {"k": 2}), (1, "a b c", "x", None, {"k": 3})]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, more string, m map<string,int>").withColumn("source", F.lit("s"))
+    mixed = mixing.mix_sources(df).collect()
+    assert {(r.more, r.m["k"]) for r in mixed} == {(None, 1), ("x", 2), (None, 3)}
