@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from salestax_spark.sources.tables import scratch_folder
@@ -36,6 +37,17 @@ def row_hash(*columns: Column, seed: int = 0) -> Column:
     return F.xxhash64(F.lit(seed), *columns, *[c.isNull() for c in columns])
 
 
+def row_key(docs: DataFrame) -> list[Column]:
+    """128 bits that name a row; equal rows have equal names."""
+
+    def plain(name: str, kind: T.DataType) -> Column:
+        nested = isinstance(kind, (T.ArrayType, T.MapType, T.StructType))
+        return F.to_json(F.struct(F.col(f"`{name}`")), {"ignoreNullFields": "false"}) if nested else F.col(f"`{name}`")
+
+    columns = [plain(f.name, f.dataType) for f in docs.schema.fields]
+    return [row_hash(*columns).alias("_row"), row_hash(*columns, seed=1).alias("_row2")]
+
+
 def set_aside(docs: DataFrame, taken: tuple[str, ...], needed: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, Column]]:
     """Columns of ``docs`` that no operator reads get other names if theirs is one of ``taken`` or starts with an underscore.
 
@@ -83,6 +95,28 @@ class Scratch:
             self._hadoop(f"{self.root}/{name}", lambda fs, path: fs.delete(path, True))
 
 
+def number_rows(df: DataFrame, order: list[Column], name: str, scratch: Scratch, table_name: str = "numbered") -> DataFrame:
+    """``df`` plus ``name``: 0, 1, 2 ... over all its rows in the given order, without a gap.
+
+    Rows are dealt by range and sorted inside their range; one count per range travels on. Rows that are equal in ``order`` are told apart by
+    where they lie in the input, so that no value fills a range by itself. Which of them comes first is open.
+    """
+    kept = [f"`{c}`" for c in df.columns]
+    placed = df.withColumn("_at", F.monotonically_increasing_id())
+    placed = placed.repartitionByRange(*order, "_at").sortWithinPartitions(*order, "_at")
+    placed = placed.select(
+        *kept,
+        F.spark_partition_id().alias("_part"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_nth"),
+    )
+    placed = scratch.write(table_name, placed)
+    sizes = placed.groupBy("_part").agg((F.max("_nth") + 1).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    numbered = placed.join(F.broadcast(offsets), "_part")  # one row per range
+    return numbered.select(*kept, (F.col("_offset") + F.col("_nth")).alias(name))
+
+
 def prefix_sums(
     df: DataFrame, group: str, key: str, ties: list[str], value: Column, name: str, key_bits: int, chunk_bits: int = 10
 ) -> DataFrame:

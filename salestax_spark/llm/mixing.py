@@ -25,10 +25,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from salestax_spark.llm.common import Scratch, others, permutation_key, prefix_sums, row_hash, set_aside, word_count
+from salestax_spark.llm.common import Scratch, others, permutation_key, prefix_sums, row_key, set_aside, word_count
 
 WEIGHTS = (5, 2, 1)
 KEY_BITS = 60
@@ -128,17 +127,6 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     )
 
 
-def _row_key(docs: DataFrame) -> list[Column]:
-    """128 bits that name a row; equal rows have equal names."""
-
-    def plain(name: str, kind: T.DataType) -> Column:
-        nested = isinstance(kind, (T.ArrayType, T.MapType, T.StructType))
-        return F.to_json(F.struct(F.col(f"`{name}`")), {"ignoreNullFields": "false"}) if nested else F.col(f"`{name}`")
-
-    columns = [plain(f.name, f.dataType) for f in docs.schema.fields]
-    return [row_hash(*columns).alias("_row"), row_hash(*columns, seed=1).alias("_row2")]
-
-
 class Mix:
     """The plan of a mix. Sizes and quotas are written once, since several steps read them."""
 
@@ -157,7 +145,7 @@ class Mix:
     ):
         scratch = Scratch(docs.sparkSession, "mix")
         sized = docs.select(
-            *_row_key(docs),
+            *row_key(docs),
             F.col(id_column).alias("_id"),
             F.col(source_column).alias("source"),
             _source_key(source_column).alias("_key"),
@@ -195,7 +183,7 @@ def mix_sources(docs: DataFrame, **options) -> DataFrame:
     """The mix (options as in Mix): the columns of ``docs`` plus size, pass, shard and position; texts are shuffled once."""
     needed = tuple(options.get(f"{c}_column", name) for c, name in (("id", "doc_id"), ("source", "source"), ("text", "text")))
     docs, named = set_aside(docs, OUTPUTS, needed)
-    once = docs.select("*", *_row_key(docs)).dropDuplicates(["_row", "_row2"])
+    once = docs.select("*", *row_key(docs)).dropDuplicates(["_row", "_row2"])
     return once.join(Mix(docs, **options).plan(), ["_row", "_row2"]).select(*others(named, OUTPUTS), *OUTPUTS)
 
 

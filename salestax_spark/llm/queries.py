@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salestax_spark.llm import chat, fingerprint, jaccard, language, linededup, mixing, neardup, packing, secrets, warc
+from salestax_spark.llm import chat, fingerprint, jaccard, language, linededup, mixing, neardup, negatives, packing, secrets, sharding, spelling, warc
 from salestax_spark.llm.common import table
 
 
@@ -91,11 +91,34 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = spelling.frequent_words(spelling.edited_runs(docs), least_length=5, least_count=3)
+    return spelling.spelling_variants(words)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", label.alias("label"), negatives.whole_components(F.col("embedding")).alias("vector")
+    )
+    return negatives.mine_hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op13_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+    )
+    dealt = sharding.shard_rows(docs, order=("doc_id", "size", "text_crc32"), shards=24)
+    return dealt.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_secret_scan, op3_embedding_near_dedup, op4_revisit_resolution, op5_jaccard_join, op6_chat_format,
-        op7_weighted_fingerprints, op8_line_dedup, op9_packing, op10_source_mix,
+        op7_weighted_fingerprints, op8_line_dedup, op9_packing, op10_source_mix, op11_spelling_variants, op12_hard_negatives, op13_feistel_shards,
     )
 }
 
@@ -243,3 +266,94 @@ WITH RECURSIVE worded AS (
 SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(component_id, d.doc_id) AS component_id
 FROM sets d LEFT JOIN named ON len(d.s) > 0 AND named.c = md5(array_to_string(d.s, chr(10)))
 """
+
+
+# CRC-32 by nibbles of a list of bytes; the sixteen entries follow from the polynomial.
+def _crc_entry(i: int) -> int:
+    for _ in range(4):
+        i = (i >> 1) ^ (0xEDB88320 if i & 1 else 0)
+    return i
+
+
+def _crc32(text: str) -> str:
+    entries = "[" + ", ".join(str(_crc_entry(i)) for i in range(16)) + "]"
+    low = f"xor(xor(a, b) >> 4, {entries}[(xor(a, b) & 15) + 1])"
+    step = f"xor({low} >> 4, {entries}[({low} & 15) + 1])"
+    listed = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {listed}), lambda a, b: {step}), 4294967295)::BIGINT"
+
+
+ORACLES["op11_spelling_variants"] = rf"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS d,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+  FROM documents
+), counted AS (
+  SELECT d, run, count(*) AS times FROM runs GROUP BY ALL
+), hashed AS (
+  SELECT *, {_crc32("d || ':' || run")} AS h FROM counted
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, sum(times)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(times) >= 3
+), lacking AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word AS x, b.word AS y FROM lacking a JOIN lacking b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word FROM lacking a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word FROM lacking a JOIN words b ON a.rest = b.word
+), near AS (
+  SELECT x AS word, count(*) AS n_near, arg_min(y, (-w.n, y)) AS best, max(w.n) AS best_n FROM pairs JOIN words w ON w.word = y GROUP BY x
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w.n THEN best END AS form, CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN near USING (word)
+), walk AS (
+  SELECT word, coalesce(form, word) AS at FROM forms
+  UNION
+  SELECT walk.word, f.form FROM walk JOIN forms f ON f.word = walk.at WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.n, f.n_near::BIGINT AS n_near, f.form, f.form_n, walk.at AS root
+FROM forms f JOIN walk USING (word) JOIN forms l ON l.word = walk.at AND l.form IS NULL
+"""
+
+ORACLES["op12_hard_negatives"] = r"""
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), usable AS (
+  SELECT *, row_number() OVER () AS r FROM vectors WHERE label IS NOT NULL
+), scored AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.r <> b.r AND len(a.v) = len(b.v)
+), positives AS (
+  SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, id, br) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id, row_number() OVER best::INT AS rank, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.ar = n.ar AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+WINDOW best AS (PARTITION BY p.ar, p.br ORDER BY n.score DESC, n.id, n.br)
+QUALIFY row_number() OVER best <= 3
+"""
+
+ORACLES["op13_feistel_shards"] = rf"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 8 AS size, {_crc32("coalesce(text, '')")} AS text_crc32 FROM documents
+), numbered AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS row_number FROM sized
+), sides AS (
+  SELECT n, a, ((n + a - 1) // a)::BIGINT AS b FROM (SELECT count(*) AS n, ceil(sqrt(count(*)))::BIGINT AS a FROM documents)
+), walk AS (
+  SELECT row_number, row_number // b AS l, row_number % b AS r, 0 AS k FROM numbered, sides
+  UNION ALL
+  SELECT row_number,
+    CASE WHEN k % 2 = 0 THEN (l + ('0x' || substr(md5('13|' || (k % 6) || '|' || r), 1, 15))::BIGINT % a) % a ELSE l END,
+    CASE WHEN k % 2 = 1 THEN (r + ('0x' || substr(md5('13|' || (k % 6) || '|' || l), 1, 15))::BIGINT % b) % b ELSE r END,
+    k + 1
+  FROM walk, sides WHERE k = 0 OR k % 6 <> 0 OR l * b + r >= n
+), placed AS (
+  SELECT row_number, l * b + r AS place FROM walk, sides WHERE k > 0 AND k % 6 = 0 AND l * b + r < n
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, row_number, (place % 24)::INT AS shard, place // 24 AS slot, NULL::INT AS grown_shard
+FROM numbered JOIN placed USING (row_number)
+"""
