@@ -7,7 +7,7 @@ import argparse
 from salestax_spark.operators.checks import check_totals
 from salestax_spark.plans.job import CHECKS, Inputs, run
 from salestax_spark.session import build_session
-from salestax_spark.sources.readers import FORMATS
+from salestax_spark.sources.readers import FAIL, FORMATS, SKIP
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -21,6 +21,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--as-of", help="last day of the trailing window, YYYY-MM-DD (default: today, UTC)")
     parser.add_argument("--months", type=int, default=12)
     parser.add_argument("--null-link", choices=("collapse", "keep"), default="collapse")
+    parser.add_argument("--on-bad", choices=(FAIL, SKIP), default=FAIL, help="records that cannot be parsed: stop, or go on and list them")
+    parser.add_argument("--month-folders", action="store_true", help="keep unified transactions in a folder per month")
     return parser.parse_args(argv)
 
 
@@ -28,8 +30,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = build_session()
     formats = dict.fromkeys(("charges", "orders", "refunds"), args.format)
-    inputs = Inputs(args.charges, args.orders, args.refunds, args.thresholds, args.merchants, formats)
-    tables = run(spark, inputs, args.out, args.as_of, args.months, args.null_link)
+    inputs = Inputs(args.charges, args.orders, args.refunds, args.thresholds, args.merchants, formats, args.on_bad)
+    tables = run(spark, inputs, args.out, args.as_of, args.months, args.null_link, month_folders=args.month_folders)
     totals = check_totals(tables[CHECKS]).first()
     print(f"checks: {totals.passed} passed, {totals.failed} failed")
 

@@ -1,11 +1,12 @@
 """Existence lookups that stay even when one key owns a large share of the rows.
 
-``mark_existing`` is NOT EXISTS / EXISTS as a column:
+``mark_existing`` is NOT EXISTS / EXISTS as a column, in one lazy plan that scans the rows once:
 
-* distinct keys are looked up, so the lookup sees each key once on either side, and the keys found are written;
-* the rows meet the written keys in one left join. Both sides are plain shuffles, so Spark splits the tasks of any hot key,
-  however many there are; nothing is broadcast by hand and no key is treated in a special way;
-* rows with a NULL key have a known answer and skip the join.
+* the ids are made distinct, so no row is doubled;
+* rows and ids meet in one left join on a key of the join's own: the id behind a letter, or, for a row without a key, another letter and a
+  hash of the row, which meets nothing and spreads such rows over all tasks. Since neither side is dealt by this key before, both are plain
+  shuffles under the join, and Spark splits the tasks of any hot key, however many there are;
+* nothing is broadcast by hand and no key is treated in a special way.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salestax_spark.sources.tables import write_once
+_GIVEN, _NONE = "k", "n"
 
 
 def _present(ids: DataFrame) -> DataFrame:
@@ -22,13 +23,12 @@ def _present(ids: DataFrame) -> DataFrame:
 
 
 def mark_existing(rows: DataFrame, key: str, ids: DataFrame, flag: str) -> DataFrame:
-    """``rows`` plus a boolean column: does ``rows[key]`` occur in the single column of ``ids``? Runs the lookup of the keys."""
-    keyed = rows.where(F.col(key).isNotNull())
-    found = write_once(keyed.select(F.col(key).alias("_key")).distinct().join(_present(ids), "_key"), "existing")
-    looked_up = keyed.join(found, F.col(key) == F.col("_key"), "left").select(
-        *rows.columns, F.coalesce(F.col("_found"), F.lit(False)).alias(flag)
-    )
-    return looked_up.unionByName(rows.where(F.col(key).isNull()).select(*rows.columns, F.lit(False).alias(flag)))
+    """``rows`` plus a boolean column: does ``rows[key]`` occur in the single column of ``ids``? A NULL key never does."""
+    given = F.concat(F.lit(_GIVEN), F.col(key).cast("string"))
+    spread = F.concat(F.lit(_NONE), F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).cast("string"))
+    keyed = rows.withColumn("_lookup", F.coalesce(given, spread))
+    known = _present(ids).where(F.col("_key").isNotNull()).select(F.concat(F.lit(_GIVEN), F.col("_key").cast("string")).alias("_lookup"), "_found")
+    return keyed.join(known, "_lookup", "left").select(*[f"`{c}`" for c in rows.columns], F.coalesce("_found", F.lit(False)).alias(flag))
 
 
 def count_missing(rows: DataFrame, group: str, key: str, ids: DataFrame, count_name: str) -> DataFrame:

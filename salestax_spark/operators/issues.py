@@ -7,6 +7,8 @@ with the merchant's default currency and turned into one row per family.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,21 +53,30 @@ def missing_billing_rows(unified: DataFrame) -> DataFrame:
     return unified.where(missing_billing())
 
 
-def merchant_profile(unified: DataFrame, merchants: DataFrame) -> DataFrame:
-    """Per merchant: rows of each family, and of all sales. One shuffle, of pre-aggregated rows."""
-    by_currency = unified.groupBy("merchant_id", lower_text(F.col("currency")).alias("currency")).agg(
-        F.count("*").alias("rows"),
-        F.count_if(~F.col("is_refund")).alias("total_transactions"),
-        F.count_if(missing_billing()).alias(MISSING_BILLING.issue_type),
-        F.count_if(F.col("is_zero_tax_taxable_state")).alias(ZERO_TAX.issue_type),
-        F.count_if(F.col("is_b2b_missing_cert")).alias(B2B_CERTIFICATE.issue_type),
-    )
-    families = (MISSING_BILLING, ZERO_TAX, B2B_CERTIFICATE)
+#: Families counted on unified rows: the flag of a row that has the problem.
+_ROW_FLAGS = {
+    MISSING_BILLING.issue_type: missing_billing,
+    ZERO_TAX.issue_type: lambda: F.col("is_zero_tax_taxable_state"),
+    B2B_CERTIFICATE.issue_type: lambda: F.col("is_b2b_missing_cert"),
+}
+
+
+def merchant_profile(unified: DataFrame, merchants: DataFrame, families: tuple[Issue, ...] = ISSUES) -> DataFrame:
+    """Per merchant: rows of each of the ``families``, and of all sales. One shuffle, of pre-aggregated rows.
+
+    Only columns the families need are read; the currency is a key only where the currency family is among them.
+    """
+    types = [f.issue_type for f in families]
+    flagged = [F.count_if(flag()).alias(t) for t, flag in _ROW_FLAGS.items() if t in types]
+    sales = F.count_if(~F.col("is_refund")).alias("total_transactions")
+    if CURRENCY.issue_type not in types:
+        return unified.groupBy("merchant_id").agg(*flagged, sales)
+    by_currency = unified.groupBy("merchant_id", lower_text(F.col("currency")).alias("currency")).agg(F.count("*").alias("rows"), *flagged, sales)
     return (
         with_currency_flag(by_currency, merchants)
         .groupBy("merchant_id")
         .agg(
-            *[F.sum(f.issue_type).alias(f.issue_type) for f in families],
+            *[F.sum(t).alias(t) for t in _ROW_FLAGS if t in types],
             F.sum(F.when(F.col("is_currency_mismatch"), F.col("rows")).otherwise(0)).alias(CURRENCY.issue_type),
             F.sum("total_transactions").alias("total_transactions"),
         )
@@ -98,18 +109,19 @@ def data_issues(
     orphan_counts: DataFrame,
     catalogue: tuple[Issue, ...] = ISSUES,
 ) -> DataFrame:
-    """``catalogue`` may carry another wording of the advice; the issue types must stay.
+    """``catalogue`` names the families to be counted and may carry another wording of the advice; others are not computed.
 
     ``orphan_counts`` comes from ``orphan_refund_counts``, which the check suite uses as well.
     """
-    return issues_of_profile(merchant_profile(unified, merchants), orphan_counts, catalogue)
+    return issues_of_profile(merchant_profile(unified, merchants, catalogue), orphan_counts, catalogue)
 
 
 def issues_of_profile(profile: DataFrame, orphan_counts: DataFrame, catalogue: tuple[Issue, ...] = ISSUES) -> DataFrame:
     """``data_issues`` from a merchant profile that is there already."""
     of_refunds = tuple(f for f in catalogue if f.issue_type == ORPHAN_REFUND.issue_type)
     of_transactions = tuple(f for f in catalogue if f.issue_type != ORPHAN_REFUND.issue_type)
-    return _issue_rows(profile, of_transactions).unionByName(_issue_rows(orphan_counts, of_refunds))
+    parts = [_issue_rows(counts, families) for counts, families in ((profile, of_transactions), (orphan_counts, of_refunds)) if families]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def issue_family(issues: DataFrame, family: Issue) -> DataFrame:

@@ -31,14 +31,27 @@ NEXUS_COLUMNS = (
 )
 
 
+#: Month of a transaction, YYYY-MM, where the unified table is kept in a folder per month.
+MONTH = "occurred_month"
+
+
+def with_month(unified: DataFrame) -> DataFrame:
+    return unified.withColumn(MONTH, F.date_format(F.to_utc_timestamp("occurred_at", F.current_timezone()), "yyyy-MM"))
+
+
 def not_refunds(unified: DataFrame) -> DataFrame:
     return unified.where(~F.col("is_refund"))
 
 
 def trailing(unified: DataFrame, as_of: dt.date | str | None = None, months: int = 12) -> DataFrame:
-    """Rows from midnight UTC of the day ``months`` before ``as_of`` (default today); no upper bound."""
-    start = utc_midnight(months_before(as_date(as_of), months))
-    return unified.where(F.col("occurred_at") >= start)
+    """Rows from midnight UTC of the day ``months`` before ``as_of`` (default today); no upper bound.
+
+    Of a table kept by month only the folders from that month on are listed.
+    """
+    first_day = months_before(as_date(as_of), months)
+    if MONTH in unified.columns:
+        unified = unified.where(F.col(MONTH) >= first_day.strftime("%Y-%m"))
+    return unified.where(F.col("occurred_at") >= utc_midnight(first_day))
 
 
 def us_known_state(unified: DataFrame) -> DataFrame:

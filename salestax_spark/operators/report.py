@@ -132,20 +132,29 @@ def report_lines(
         part = json_records(df).withColumn("section", F.lit(section))
         records = part if records is None else records.unionByName(part)
 
-    # A separator goes in front of every record but the first of its array. Records that are equal to the
-    # letter become one entry with a count, which makes "the first" unique.
+    # A separator goes in front of every record but the first of its array. Records that are equal to the letter become one entry with a count,
+    # and each of its copies a line again, so that "the first" is one line.
     entries = records.groupBy("section", "record").agg(F.count("*").cast("int").alias("copies"))
     firsts = records.groupBy("section").agg(F.min("record").alias("first_record"))
-    text = F.array_join(F.array_repeat(F.col("record"), F.col("copies")), ",\n")
-    lines = entries.join(firsts, "section").select(
+    repeated = entries.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    opens = (F.col("record") == F.col("first_record")) & (F.col("copy") == 1)
+    lines = repeated.join(firsts, "section").select(
         "section",
         F.lit(_RECORD).alias("part"),
         "record",
-        F.when(F.col("record") == F.col("first_record"), text).otherwise(F.concat(F.lit(","), text)).alias("line"),
+        F.when(opens, F.col("record")).otherwise(F.concat(F.lit(","), F.col("record"))).alias("line"),
     )
     return inline_table(spark, _LINE_COLUMNS, frame).unionByName(lines)
 
 
+#: Lines in this order are the document; of equal records the one without a separator comes first.
+LINE_ORDER = ("section", "part", "record")
+
+
+def in_order(lines: DataFrame) -> DataFrame:
+    return lines.orderBy(*LINE_ORDER, F.col("line").startswith(",")).select("line")
+
+
 def write_report(lines: DataFrame, path: str) -> None:
     """Text parts in document order; reading them one after the other gives the JSON object."""
-    lines.orderBy("section", "part", "record").select("line").write.mode("overwrite").text(path)
+    in_order(lines).write.mode("overwrite").text(path)

@@ -13,7 +13,7 @@ from salestax_spark.functions.dates import from_epoch
 from salestax_spark.functions.text import code, is_blank, lower_text
 from salestax_spark.operators.existence import mark_existing
 from salestax_spark.sources.inline import sql_literal
-from salestax_spark.sources.reference_data import zero_tax_states
+from salestax_spark.sources.reference_data import ZERO_TAX_STATES
 
 # Fixed values.
 COUNTED_CHARGE_STATUS = "succeeded"
@@ -26,7 +26,7 @@ def missing_certificate(is_b2b: Column, certificate: Column) -> Column:
 
 def in_taxable_state(state_column: str) -> Column:
     """As SQL text, because each literal of a long list costs a round trip to the JVM."""
-    listed = ", ".join(map(sql_literal, zero_tax_states()))
+    listed = ", ".join(map(sql_literal, ZERO_TAX_STATES))
     return F.expr(f"upper(trim({state_column})) IN ({listed})")
 
 
@@ -69,9 +69,14 @@ def stage_charges(raw: DataFrame) -> DataFrame:
 
 
 def order_time(text: Column) -> Column:
-    """A time with a full date in front; anything less (``12:30``, ``2024-05``) is NULL, not a guess."""
-    dated = text.cast("string").rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ]\d{1,2}:\d{2}.*)?$")
-    return F.when(dated, text.try_cast("timestamp"))
+    """A time with a full date in front, its parts divided by ``-`` or ``/``; anything less (``12:30``, ``2024-05``) is NULL, not a guess.
+
+    An offset is kept: ``12:00+02:00`` is 10:00 UTC.
+    """
+    plain = text.cast("string")
+    dashed = F.regexp_replace(plain, r"^(\s*\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3")
+    dated = dashed.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ]\d{1,2}:\d{2}.*)?$")
+    return F.when(dated, dashed.try_cast("timestamp"))
 
 
 def stage_orders(raw: DataFrame) -> DataFrame:

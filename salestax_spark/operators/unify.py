@@ -38,11 +38,9 @@ _CARRIED = (
     "is_b2b_missing_cert",
     "is_zero_tax_taxable_state",
 )
-_TIE_BREAK = (
-    *["occurred_at", "merchant_id", "subtotal_usd", "tax_collected_usd", "currency", "billing_state", "billing_zip"],
-    *["billing_country", "is_b2b_missing_cert", "is_zero_tax_taxable_state", "source_store"],
-)
 _SLIM = ("source_rank", "order_id", "link_id", *_CARRIED)
+#: Last key of the order within a link: names a record by all it carries, in one narrow column.
+RECORD_HASH = "record_hash"
 
 UNIFIED_COLUMNS = (
     "txn_key",
@@ -69,7 +67,10 @@ UNIFIED_COLUMNS = (
 
 
 def _slim(df: DataFrame, computed: dict[str, Column]) -> DataFrame:
-    return df.select(*[computed[name].alias(name) if name in computed else name for name in _SLIM])
+    slim = df.select(*[computed[name].alias(name) if name in computed else name for name in _SLIM])
+    carried = [F.col(name) for name in _CARRIED]
+    # The hash skips NULLs, so which columns are NULL is hashed as well.
+    return slim.withColumn(RECORD_HASH, F.xxhash64(*carried, *[column.isNull() for column in carried]))
 
 
 def slim_charges(charges: DataFrame) -> DataFrame:
@@ -136,10 +137,10 @@ def canonical_rows(charges: DataFrame, orders: DataFrame) -> DataFrame:
 def rank_links(slim: DataFrame) -> DataFrame:
     """Adds ``rn``, the position within the link key: payments first, then id as text.
 
-    _TIE_BREAK decides between records that repeat an id, by every column that reaches a mart, so that neither
-    the order of arrival nor a task run twice changes the result. Other columns are still pruned in front of the shuffle.
+    Records that repeat an id are ordered by a hash of all they carry, so that neither the order of arrival nor a task run twice changes
+    which one stays. The hash is taken at the scan; of the columns themselves only those that a mart reads reach the shuffle.
     """
-    preference = [F.col("source_rank"), F.col("order_id").asc_nulls_last(), *map(F.col, _TIE_BREAK)]
+    preference = [F.col("source_rank"), F.col("order_id").asc_nulls_last(), F.col(RECORD_HASH)]
     return slim.withColumn("rn", F.row_number().over(Window.partitionBy("link_id").orderBy(*preference)))
 
 

@@ -13,74 +13,67 @@ from salestax_spark.sources import schemas
 from salestax_spark.sources.inline import inline_table
 
 # ---- Fixed values -------------------------------------------------------------------------------
-# Two-letter code and name of the fifty states and the federal district.
-JURISDICTIONS = """
-AL Alabama
-AK Alaska
-AZ Arizona
-AR Arkansas
-CA California
-CO Colorado
-CT Connecticut
-DE Delaware
-DC District of Columbia
-FL Florida
-GA Georgia
-HI Hawaii
-ID Idaho
-IL Illinois
-IN Indiana
-IA Iowa
-KS Kansas
-KY Kentucky
-LA Louisiana
-ME Maine
-MD Maryland
-MA Massachusetts
-MI Michigan
-MN Minnesota
-MS Mississippi
-MO Missouri
-MT Montana
-NE Nebraska
-NV Nevada
-NH New Hampshire
-NJ New Jersey
-NM New Mexico
-NY New York
-NC North Carolina
-ND North Dakota
-OH Ohio
-OK Oklahoma
-OR Oregon
-PA Pennsylvania
-RI Rhode Island
-SC South Carolina
-SD South Dakota
-TN Tennessee
-TX Texas
-UT Utah
-VT Vermont
-VA Virginia
-WA Washington
-WV West Virginia
-WI Wisconsin
-WY Wyoming
-"""
-
-# States without a general sales tax.
-NO_TAX_STATES = ("AK", "DE", "MT", "NH", "OR")
-
-# In the threshold table, but never tested by the zero-tax rule.
-NOT_IN_ZERO_TAX_RULE = ("DC",)
+# State code, name, whether it has a sales tax, threshold of sales in US dollars, of transactions, and how the two combine.
+NEXUS_THRESHOLDS = (
+    ("AL", "Alabama", True, 100000.0, 200, "OR"),
+    ("AK", "Alaska", False, None, None, None),
+    ("AZ", "Arizona", True, 100000.0, 200, "OR"),
+    ("AR", "Arkansas", True, 100000.0, 200, "OR"),
+    ("CA", "California", True, 500000.0, None, None),
+    ("CO", "Colorado", True, 100000.0, 200, "OR"),
+    ("CT", "Connecticut", True, 100000.0, 200, "OR"),
+    ("DE", "Delaware", False, None, None, None),
+    ("DC", "District of Columbia", True, 100000.0, 200, "OR"),
+    ("FL", "Florida", True, 100000.0, 200, "OR"),
+    ("GA", "Georgia", True, 100000.0, 200, "OR"),
+    ("HI", "Hawaii", True, 100000.0, 200, "OR"),
+    ("ID", "Idaho", True, 100000.0, 200, "OR"),
+    ("IL", "Illinois", True, 100000.0, 200, "OR"),
+    ("IN", "Indiana", True, 100000.0, 200, "OR"),
+    ("IA", "Iowa", True, 100000.0, 200, "OR"),
+    ("KS", "Kansas", True, 100000.0, 200, "OR"),
+    ("KY", "Kentucky", True, 100000.0, 200, "OR"),
+    ("LA", "Louisiana", True, 100000.0, 200, "OR"),
+    ("ME", "Maine", True, 100000.0, 200, "OR"),
+    ("MD", "Maryland", True, 100000.0, 200, "OR"),
+    ("MA", "Massachusetts", True, 100000.0, 200, "OR"),
+    ("MI", "Michigan", True, 100000.0, 200, "OR"),
+    ("MN", "Minnesota", True, 100000.0, 200, "OR"),
+    ("MS", "Mississippi", True, 100000.0, 200, "OR"),
+    ("MO", "Missouri", True, 100000.0, 200, "OR"),
+    ("MT", "Montana", False, None, None, None),
+    ("NE", "Nebraska", True, 100000.0, 200, "OR"),
+    ("NV", "Nevada", True, 100000.0, 200, "OR"),
+    ("NH", "New Hampshire", False, None, None, None),
+    ("NJ", "New Jersey", True, 100000.0, 200, "OR"),
+    ("NM", "New Mexico", True, 100000.0, 200, "OR"),
+    ("NY", "New York", True, 500000.0, 100, "AND"),
+    ("NC", "North Carolina", True, 100000.0, 200, "OR"),
+    ("ND", "North Dakota", True, 100000.0, 200, "OR"),
+    ("OH", "Ohio", True, 100000.0, 200, "OR"),
+    ("OK", "Oklahoma", True, 100000.0, 200, "OR"),
+    ("OR", "Oregon", False, None, None, None),
+    ("PA", "Pennsylvania", True, 100000.0, 200, "OR"),
+    ("RI", "Rhode Island", True, 100000.0, 200, "OR"),
+    ("SC", "South Carolina", True, 100000.0, 200, "OR"),
+    ("SD", "South Dakota", True, 100000.0, 200, "OR"),
+    ("TN", "Tennessee", True, 100000.0, 200, "OR"),
+    ("TX", "Texas", True, 500000.0, None, None),
+    ("UT", "Utah", True, 100000.0, 200, "OR"),
+    ("VT", "Vermont", True, 100000.0, 200, "OR"),
+    ("VA", "Virginia", True, 100000.0, 200, "OR"),
+    ("WA", "Washington", True, 100000.0, 200, "OR"),
+    ("WV", "West Virginia", True, 100000.0, 200, "OR"),
+    ("WI", "Wisconsin", True, 100000.0, 200, "OR"),
+    ("WY", "Wyoming", True, 100000.0, 200, "OR"),
+)
 
-# Sales in US dollars, transaction count, how the two combine.
-DEFAULT_THRESHOLD = (100000.0, 200, "OR")
-THRESHOLD_EXCEPTIONS = {
-    "CA": (500000.0, None, None),
-    "NY": (500000.0, 100, "AND"),
-    "TX": (500000.0, None, None),
-}
+# States in which a sale without tax is suspicious.
+ZERO_TAX_STATES = (
+    "AL", "AZ", "AR", "CA", "CO", "CT", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS", "KY",
+    "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO", "NE", "NV", "NJ", "NM", "NY", "NC", "ND",
+    "OH", "OK", "PA", "RI", "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY",
+)
 
 # Currency of a merchant that is not in the merchant table.
 FALLBACK_CURRENCY = "usd"
@@ -140,27 +133,9 @@ ORPHAN_REFUND = Issue(
 ISSUES = (MISSING_BILLING, ZERO_TAX, B2B_CERTIFICATE, CURRENCY, ORPHAN_REFUND)
 
 
-def jurisdictions() -> list[tuple[str, str]]:
-    return [(line[:2], line[3:]) for line in JURISDICTIONS.split("\n") if line]
-
-
-def zero_tax_states() -> list[str]:
-    """States in which a sale without tax is suspicious."""
-    exempt = set(NO_TAX_STATES) | set(NOT_IN_ZERO_TAX_RULE)
-    return [state for state, _ in jurisdictions() if state not in exempt]
-
-
 def threshold_rows() -> list[tuple]:
-    """One row per jurisdiction in the shape of the threshold file."""
-    rows = []
-    for state, name in jurisdictions():
-        if state in NO_TAX_STATES:
-            rows.append((state, name, False, None, None, None, "no state-wide sales tax"))
-            continue
-        sales, transactions, logic = THRESHOLD_EXCEPTIONS.get(state, DEFAULT_THRESHOLD)
-        note = "state-specific rule" if state in THRESHOLD_EXCEPTIONS else "common rule"
-        rows.append((state, name, True, sales, transactions, logic, note))
-    return rows
+    """One row per jurisdiction in the shape of the threshold file, with an empty remark."""
+    return [(*row, None) for row in NEXUS_THRESHOLDS]
 
 
 def threshold_table(spark: SparkSession) -> DataFrame:

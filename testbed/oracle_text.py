@@ -6,7 +6,7 @@ of ranking, issue counts by UNPIVOT, rules as separate mode columns.
 
 from __future__ import annotations
 
-from salestax_spark.sources.reference_data import ISSUES, KNOWN_MERCHANTS, threshold_rows, zero_tax_states
+from salestax_spark.sources.reference_data import ISSUES
 from testbed.projection import AS_OF, STATES
 
 
@@ -24,11 +24,80 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in rows)
 
 
-TAXED = ", ".join(_literal(s) for s in zero_tax_states())
+# The oracle's own statement of the reference tables, by rule and exception, so that the library's rows are compared with something else.
+STATE_NAMES = """
+AL Alabama
+AK Alaska
+AZ Arizona
+AR Arkansas
+CA California
+CO Colorado
+CT Connecticut
+DE Delaware
+DC District of Columbia
+FL Florida
+GA Georgia
+HI Hawaii
+ID Idaho
+IL Illinois
+IN Indiana
+IA Iowa
+KS Kansas
+KY Kentucky
+LA Louisiana
+ME Maine
+MD Maryland
+MA Massachusetts
+MI Michigan
+MN Minnesota
+MS Mississippi
+MO Missouri
+MT Montana
+NE Nebraska
+NV Nevada
+NH New Hampshire
+NJ New Jersey
+NM New Mexico
+NY New York
+NC North Carolina
+ND North Dakota
+OH Ohio
+OK Oklahoma
+OR Oregon
+PA Pennsylvania
+RI Rhode Island
+SC South Carolina
+SD South Dakota
+TN Tennessee
+TX Texas
+UT Utah
+VT Vermont
+VA Virginia
+WA Washington
+WV West Virginia
+WI Wisconsin
+WY Wyoming
+"""
+
+NAMES = [(line[:2], line[3:]) for line in STATE_NAMES.strip().split("\n")]
+UNTAXED = ("AK", "DE", "MT", "NH", "OR")
+TAXED = ", ".join(_literal(state) for state, _ in NAMES if state not in (*UNTAXED, "DC"))
+THRESHOLD_FILE = f"""SELECT state_code, state_name, state_code NOT IN ({", ".join(map(_literal, UNTAXED))}) AS has_sales_tax,
+    CASE WHEN NOT has_sales_tax THEN NULL WHEN state_code IN ('CA', 'NY', 'TX') THEN 500000.0 ELSE 100000.0 END::DOUBLE AS sales_threshold_usd,
+    CASE WHEN state_code = 'NY' THEN 100 WHEN has_sales_tax AND state_code NOT IN ('CA', 'TX') THEN 200 END::BIGINT AS transaction_threshold,
+    CASE WHEN state_code = 'NY' THEN 'AND' WHEN transaction_threshold IS NOT NULL THEN 'OR' END AS threshold_logic
+  FROM (VALUES {_values(NAMES)}) names(state_code, state_name)"""
+MERCHANT_ROWS = [
+    ("merch_acme_foods", "Acme Foods Co", "usd", 1),
+    ("merch_graze_box", "Graze Box Snacks", "usd", 1),
+    ("merch_nova_health", "Nova Health Supplies", "usd", 1),
+    ("merch_ridge_gear", "Ridge Gear Inc", "usd", 2),
+    ("merch_surf_co", "Surf Co Collective", "eur", 1),
+]
 
 RAW = f"""
 state_by_nation(n, raw_state) AS (VALUES {_values(enumerate(STATES))}),
-merchants(id, name, currency, store_cnt) AS (VALUES {_values((i, nm, c, len(s)) for i, nm, c, s in KNOWN_MERCHANTS)}),
+merchants(id, name, currency, store_cnt) AS (VALUES {_values(MERCHANT_ROWS)}),
 facts AS (
   SELECT o_orderkey AS k, o_custkey AS cust, o_custkey % 16 AS u,
     CASE WHEN o_custkey % 16 < 8 THEN 'merch_acme_foods' WHEN o_custkey % 16 < 12 THEN 'merch_ridge_gear'
@@ -163,9 +232,8 @@ issues AS (
   FROM issue_counts JOIN catalogue USING (issue_type) WHERE issue_count > 0
 ),
 txn_counts AS (SELECT merchant_id, count(*) AS total_transactions FROM unified WHERE NOT is_refund GROUP BY merchant_id),
-threshold_file(state_code, state_name, has_sales_tax, sales_threshold_usd, transaction_threshold, threshold_logic, notes) AS (
-  SELECT col0, col1, CAST(col2 AS BOOLEAN), CAST(col3 AS DOUBLE), CAST(col4 AS BIGINT), CAST(col5 AS VARCHAR), col6
-  FROM (VALUES {_values(threshold_rows())})
+threshold_file AS (
+  {THRESHOLD_FILE}
 ),
 eligible AS (
   SELECT * FROM unified

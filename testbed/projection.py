@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from salestax_spark.sources import reference_data
-from salestax_spark.sources.reference_data import zero_tax_states
+from salestax_spark.sources.reference_data import ZERO_TAX_STATES
 
 AS_OF = "2001-08-01"
 
@@ -54,7 +54,7 @@ BASE = [
     "CASE WHEN n = 23 THEN 'FR' WHEN n = 24 THEN 'CA' WHEN k % 2 = 0 THEN 'US' ELSE ' usa' END AS billing_country",
     "k % 10 = 1 AS is_b2b",
     "CASE WHEN k % 10 <> 1 OR k % 20 = 1 THEN NULL WHEN k % 40 = 31 THEN '  ' ELSE 'CERT-' || k END AS exemption_cert_id",
-    f"CASE WHEN upper(trim(billing_state)) IN ({_texts(zero_tax_states())}) AND k % 33 <> 0 AND k % 50 <> 7"
+    f"CASE WHEN upper(trim(billing_state)) IN ({_texts(ZERO_TAX_STATES)}) AND k % 33 <> 0 AND k % 50 <> 7"
     " THEN amount * (475 + k % 556) div 10000 WHEN n = 19 AND k % 7 = 0 THEN amount div 20 ELSE 0L END AS tax",
 ]
 

@@ -470,7 +470,8 @@ def _family_oracle(issue_type: str) -> str:
 
 
 def _family(spark: SparkSession, sf: str, family: reference_data.Issue) -> DataFrame:
-    return issues.issue_family(Layers(spark, sf).issues, family).drop("recommended_action")
+    layers = Layers(spark, sf)
+    return issues.data_issues(layers.unified, layers.merchants, layers.orphans, (family,)).drop("recommended_action")
 
 
 @query(_family_oracle("missing_billing_address"))

@@ -3,9 +3,9 @@ from salestax_spark.sources.inline import inline_table
 
 
 def test_sizes():
-    assert len(ref.jurisdictions()) == 51
-    assert len(ref.zero_tax_states()) == 45
-    assert "DC" not in ref.zero_tax_states()
+    assert len({row[0] for row in ref.NEXUS_THRESHOLDS}) == len(ref.NEXUS_THRESHOLDS) == 51
+    assert len(set(ref.ZERO_TAX_STATES)) == len(ref.ZERO_TAX_STATES) == 45
+    assert "DC" not in ref.ZERO_TAX_STATES
     assert len(ref.KNOWN_MERCHANTS) == 5
 
 

@@ -125,6 +125,55 @@ def test_folder_store_replaces(spark, tmp_path):
     assert store.replace("t", spark.range(2)).count() == 2 == store.read("t").count()
 
 
+def test_folder_store_replaces_all_or_nothing(spark, tmp_path):
+    store, reader = FolderStore(spark, str(tmp_path)), FolderStore(spark, str(tmp_path))
+    with store.refresh():
+        store.replace("a", spark.range(1))
+        store.replace("b", spark.range(1))
+        with pytest.raises(LookupError, match="table not found: a"):
+            reader.read("a")
+    old = reader.read("a")
+    with pytest.raises(RuntimeError, match="middle"):
+        with store.refresh():
+            assert store.replace("a", spark.range(7)).count() == 7
+            raise RuntimeError("middle")
+    assert (reader.read("a").count(), reader.read("b").count(), old.count()) == (1, 1, 1)
+    store.replace("a", spark.range(3))
+    # A query that found the former generation can end; the one before that is gone.
+    assert (reader.read("a").count(), reader.read("b").count(), old.count()) == (3, 1, 1)
+    store.replace("b", spark.range(4))
+    assert (reader.read("a").count(), reader.read("b").count()) == (3, 4)
+    store.replace("a", spark.range(5))
+    assert len(list((tmp_path / "generations").iterdir())) == 3
+
+
+def test_a_write_that_fails_leaves_nothing_behind(spark, tmp_path):
+    store = FolderStore(spark, str(tmp_path))
+    store.replace("t", spark.range(5))
+    with pytest.raises(Exception, match="stop"):
+        store.replace("t", spark.range(9).selectExpr("IF(id = 8, raise_error('stop'), id) AS id"))
+    assert store.read("t").count() == 5
+    assert len(list((tmp_path / "generations").iterdir())) == 1
+
+
+def test_catalog_store_keeps_the_former_table_of_a_failed_refresh(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS atomic")
+    try:
+        spark.range(2).write.saveAsTable("atomic.t")  # as earlier versions wrote it
+        store = CatalogStore(spark, "atomic")
+        for n in (3, 4, 5):
+            store.replace("t", spark.range(n))
+            assert store.read("t").count() == n
+        with pytest.raises(RuntimeError, match="middle"):
+            with store.refresh():
+                store.replace("t", spark.range(6))
+                raise RuntimeError("middle")
+        assert store.read("t").count() == 5
+        assert spark.sql("SHOW TABLES IN atomic").count() == 3  # the view and two generations
+    finally:
+        spark.sql("DROP DATABASE atomic CASCADE")
+
+
 def test_catalog_store_falls_back_to_the_qualified_name(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS marts")
     store = CatalogStore(spark, "marts")
@@ -172,6 +221,77 @@ def test_scratch_folder_of_a_cluster_comes_from_its_setting():
         scratch_folder(_Cluster({}))
 
 
+@pytest.mark.parametrize(
+    "row",
+    ["NY,New York,true,500000", "NY,New York,true,500000,100,AND,x,y,z", '"NY,New York,true,500000,100,AND,x', 'NY,"New York,true,500000,100,AND,x'],
+    ids=["short", "long", "open quote", "open quote inside"],
+)
+def test_broken_threshold_rows_stop_the_run_or_are_listed(spark, tmp_path, row):
+    path = tmp_path / "t.csv"
+    path.write_text(",".join(schemas.THRESHOLD_COLUMNS) + f"\nCA,California,true,500000,,,x\n{row}\nOR,Oregon,false,,,,\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        readers.read_thresholds(spark, str(path)).select("state_code").collect()
+    left = readers.read_thresholds(spark, str(path), readers.SKIP)
+    assert sorted(r.state_code for r in left.select("state_code").collect()) == ["CA", "OR"]
+    listed = readers.rejected_records(spark, str(path), schemas.THRESHOLDS, "csv").collect()
+    assert [r.record for r in listed] == [row] and listed[0].file.endswith("t.csv")
+
+
+def test_state_codes_are_checked(spark):
+    readers.check_state_codes(ref.threshold_table(spark))
+    for codes in (["CA", "CA"], ["ca"], [None], ["California"], ['"NY"X']):
+        with pytest.raises(ValueError, match="state codes"):
+            readers.check_state_codes(spark.createDataFrame([(c,) for c in codes], "state_code string"))
+
+
+def test_bad_json_is_listed(spark, tmp_path):
+    path = tmp_path / "r.jsonl"
+    path.write_text('{"id": "a", "amount": 5}\n{"id": "b", "amount": "lots"}\n{"id": "c"\n')
+    kept = readers.read_documents(spark, str(path), schemas.REFUND_DOCUMENT, "json_lines", readers.SKIP)
+    assert [(r.id, r.amount) for r in kept.collect()] == [("a", 5)]
+    listed = readers.rejected_records(spark, str(path), schemas.REFUND_DOCUMENT, "json_lines")
+    assert sorted(r.record for r in listed.collect()) == ['{"id": "b", "amount": "lots"}', '{"id": "c"']
+    assert '"id":"b"' in "".join(r.read_as for r in listed.collect())
+    with pytest.raises(ValueError, match="not parsed one by one"):
+        readers.rejected_records(spark, str(path), schemas.REFUND_DOCUMENT, "parquet")
+
+
+def test_parquet_files_of_other_types(spark, tmp_path):
+    """A boolean, a text and a missing is_b2b; amounts as numbers and text; dates of three deliveries in folders of their own."""
+    path = str(tmp_path / "charges")
+    deliveries = [
+        ("id string, amount bigint, metadata struct<is_b2b: boolean, exemption_cert_id: string>", [("a", 5, (True, "C")), ("b", 6, (None, None))]),
+        ("id string, amount int, metadata struct<is_b2b: boolean, exemption_cert_id: string>", [("c", 7, (False, None))]),
+        ("id string, amount string, metadata struct<is_b2b: string, shopify_order_id: string>", [("d", "8", ("true", "9")), ("e", "9", None)]),
+        ("id string, amount bigint, metadata struct<shopify_order_id: bigint>, more double", [("f", None, (77,), 0.5)]),
+        ("id string, amount bigint, metadata struct<is_b2b: boolean, exemption_cert_id: string>", [("g", 1, (True, "D"))]),
+    ]
+    for day, (ddl, rows) in enumerate(deliveries):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{path}/day={day}")
+    docs = readers.read_documents(spark, path, schemas.CHARGE_DOCUMENT, "parquet")
+    flat = flatten.flatten_charges(docs)
+    got = {r.id: (r.amount, r.is_b2b, r.exemption_cert_id, r.shopify_order_id) for r in flat.collect()}
+    assert got == {
+        "a": (5, True, "C", None), "b": (6, None, None, None), "c": (7, False, None, None), "d": (8, True, None, "9"),
+        "e": (9, None, None, None), "f": (None, None, None, "77"), "g": (1, True, "D", None),
+    }
+    plan = flat.select("id", "is_b2b")._jdf.queryExecution().executedPlan().toString()
+    assert "metadata:struct<is_b2b:boolean>" in plan and "metadata:struct<is_b2b:string>" in plan
+    assert "exemption_cert_id" not in plan.split("ReadSchema", 1)[1].split("\n")[0]
+    # Files of the same types are one scan, however many deliveries lie between them.
+    assert plan.count("FileScan parquet") == 4
+
+
+def test_declared_parquet_looks_at_no_footer(spark, tmp_path):
+    path = str(tmp_path / "refunds")
+    spark.createDataFrame([("r", 5, "x")], "id string, amount bigint, memo string").write.parquet(path)
+    started = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    docs = readers.read_documents(spark, path, schemas.REFUND_DOCUMENT, "parquet_declared")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == started
+    row = docs.first()
+    assert (row.id, row.amount, row.charge_id) == ("r", 5, None) and "memo" not in docs.columns
+
+
 def test_threshold_columns_go_by_name(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text(
