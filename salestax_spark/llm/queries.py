@@ -141,6 +141,27 @@ SELECT conv_id, count(*) AS n_turns,
 FROM written GROUP BY conv_id
 """
 
+ORACLES["op3_embedding_near_dedup"] = r"""
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v,
+    label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
+  FROM embeddings
+), links AS (
+  SELECT a.r, b.r AS other FROM vectors a JOIN vectors b
+    ON a.label = b.label AND a.usable AND b.usable AND a.r <> b.r AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+  SELECT r, r AS other FROM vectors
+  UNION
+  SELECT reach.r, links.other FROM reach JOIN links ON links.r = reach.other
+), roots AS (
+  SELECT reach.r, min(vec_id) AS component_id FROM reach JOIN vectors v ON v.r = reach.other GROUP BY reach.r
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.r = v.r)::BIGINT AS n_links, component_id,
+  coalesce(vec_id = component_id, FALSE) AS kept
+FROM vectors v JOIN roots USING (r)
+"""
+
 ORACLES["op10_source_mix"] = r"""
 WITH sized AS (
   SELECT doc_id, source, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS k,
