@@ -13,18 +13,18 @@ Jaccard similarity: the sum of the lesser weights over the sum of the greater on
 The least value is kept as one whole number, ln(a) in its upper and the sample's name in its lower bits, so the samples of a
 document come from plain minima. Documents are dealt by id once; counting terms and taking minima need no further shuffle.
 
-Cases: a document without words (NULL, empty or blank text) has the fingerprint of zeros; two such documents have likeness 1. Of
-rows with one id the longest text is used, of these the greatest; a NULL id is an id like any other, the least one (it is kept
-as the least long number, which is taken). Empty tables give empty results; extra columns are ignored.
+Cases: a document without words (NULL, empty or blank text) has the fingerprint of zeros; two such documents have likeness 1. Rows that share
+an id are documents of their own, one after the other in order of a hash of their text; equal rows as well. A NULL id comes first. Ids are of any
+type that can be ordered. A text of any length is one row of its own; its words are counted by many rows. Empty tables give empty results; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from salestax_spark.llm.common import WORD, Scratch
+from salestax_spark.llm.common import WORD, Scratch, number_rows
 
 SAMPLES = 32
 #: Samples whose minima one row updates; the rows of a term are repeated SAMPLES / TOGETHER times.
@@ -33,7 +33,6 @@ NAME_BITS = 24
 #: ln(a) is stored as (ln(a) + SHIFT) * SCALE; it lies between about -60 and 10.
 SHIFT, SCALE = 128.0, float(1 << 30)
 UNIT_BITS = 21
-NO_ID = -(1 << 63)
 
 
 def _units(word: Column) -> list[Column]:
@@ -119,47 +118,42 @@ def fingerprints(docs: DataFrame, keys: list[str], texts: list[str], samples: in
     return weighted_samples(counts, keys, texts, samples)
 
 
-def following(ids: DataFrame, scratch: Scratch) -> DataFrame:
-    """``ids`` (distinct doc_id and more) plus next_id: the next one in ascending order, the first one after the last.
-
-    Ids are dealt by range; of each range one row travels on.
-    """
-    dealt = ids.repartitionByRange("doc_id").withColumn("part", F.spark_partition_id())
-    dealt = scratch.write("ids", dealt)
-    inside = dealt.withColumn("_next", F.lead("doc_id").over(Window.partitionBy("part").orderBy("doc_id")))
-    firsts = dealt.groupBy("part").agg(F.min("doc_id").alias("_first"))
-    in_order = Window.orderBy("part")
-    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    begins = firsts.select("part", F.coalesce(F.lead("_first").over(in_order), F.first("_first").over(whole)).alias("_begin"))
-    joined = inside.join(F.broadcast(begins), "part")  # one row per range
-    return joined.withColumn("next_id", F.coalesce("_next", "_begin")).drop("part", "_next", "_begin")
+def in_order(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, row, n_chars, hashes of the text) plus place, 0 to n - 1 by id, and next_row: the row at the next place, the first one after the last."""
+    numbered = number_rows(texts, [F.col("doc_id").asc_nulls_first(), F.col("_hash"), F.col("_hash2")], "place", scratch, "places")
+    numbered = scratch.write("order", numbered.select("row", "n_chars", "place"))
+    last = numbered.agg(F.max("place")).first()[0]
+    following = F.when(F.col("place") == F.lit(last), 0).otherwise(F.col("place") + 1)
+    ahead = numbered.select(F.col("place").alias("_next"), F.col("row").alias("next_row"))
+    return numbered.withColumn("_next", following.cast("long")).join(ahead, "_next").select("row", "next_row", "n_chars")
 
 
 def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """Fingerprints of every document and of its edited text, whose last quarter is replaced by the opening of the next document."""
     scratch = Scratch(docs.sparkSession, "fingerprints")
     text = F.coalesce("text", F.lit(""))
-    plain = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), text.alias("text"))
-    n = F.char_length("text").cast("long")
-    texts = plain.groupBy("doc_id").agg(F.max(F.struct(n.alias("n"), "text")).alias("_t")).select("doc_id", F.col("_t.text").alias("text"))
-    lengths = plain.groupBy("doc_id").agg(F.max(n).alias("n_chars"))
-    chain = scratch.write("chain", following(lengths, scratch))
+    # Written with a number per row, by which everything that is found out about a row comes back to it.
+    texts = scratch.write("texts", docs.select("doc_id", text.alias("text")).withColumn("row", F.monotonically_increasing_id()))
+    narrow = texts.select(
+        "doc_id", "row", F.char_length("text").cast("long").alias("n_chars"), F.xxhash64("text").alias("_hash"), F.xxhash64(F.lit(1), "text").alias("_hash2")
+    )
+    chain = scratch.write("chain", in_order(narrow, scratch))
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    heads = texts.withColumnRenamed("doc_id", "next_id").join(chain, "next_id")
-    heads = heads.select("doc_id", "next_id", "n_chars", F.substring("text", F.lit(1), quarter).alias("_head"))
+    heads = texts.select(F.col("row").alias("next_row"), F.col("text").alias("_next_text")).join(chain, "next_row")
+    heads = heads.select("row", "next_row", "n_chars", F.substring("_next_text", F.lit(1), quarter).alias("_head"))
     kept = F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - quarter).cast("int"))
-    edited = texts.join(heads, "doc_id").select("doc_id", "next_id", "n_chars", "text", F.concat(kept, "_head").alias("edited"))
-    prints = fingerprints(edited, ["doc_id"], ["text", "edited"], samples)
-    facts = edited.select("doc_id", "next_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"))
+    edited = texts.join(heads, "row").select("row", "doc_id", "next_row", "n_chars", "text", F.concat(kept, "_head").alias("edited"))
+    prints = fingerprints(edited.select("row", "text", "edited"), ["row"], ["text", "edited"], samples)
+    facts = edited.select("row", "doc_id", "next_row", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"))
     nothing = F.lit("0" * (samples * NAME_BITS // 4))
-    joined = facts.join(prints, "doc_id", "left").select(
-        "doc_id", "next_id", "n_chars", "edited_sha256",
+    joined = facts.join(prints, "row", "left").select(
+        "row", "doc_id", "next_row", "n_chars", "edited_sha256",
         F.coalesce("text_fingerprint", nothing).alias("fingerprint"), F.coalesce("edited_fingerprint", nothing).alias("edited_fingerprint"),
     )
     done = scratch.write("done", joined)
-    nexts = done.select(F.col("doc_id").alias("next_id"), F.col("fingerprint").alias("_next_print"))
-    return done.join(nexts, "next_id").select(
-        F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+    nexts = done.select(F.col("row").alias("next_row"), F.col("fingerprint").alias("_next_print"))
+    return done.join(nexts, "next_row").select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("_next_print")).alias("near_next"),
     )
