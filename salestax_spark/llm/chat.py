@@ -11,8 +11,9 @@ The template, for a conversation of merged blocks::
 a backslash after its first character, so no text can hold a control string and every text can be read back.
 
 Cases: rows by turn (NULL turns first), ties by role, then text; equal rows all stay. A NULL text or role is empty. A NULL
-conversation id is one conversation of its own. An empty table gives an empty result. Other columns are ignored.
-One conversation becomes one string, so a conversation has to fit into a task, as its output row does.
+conversation id is one conversation of its own. An empty table gives an empty result. Other columns are ignored, whatever they are called.
+One conversation becomes one string, so a conversation has to fit into a task, as its output row does. The time it takes grows about with its
+length: places are summed and looked up in chunks of TOGETHER turns and CHARS characters.
 """
 
 from __future__ import annotations
@@ -22,6 +23,40 @@ from pyspark.sql import functions as F
 
 OPEN, CLOSE, NEXT = "<turn ", "</turn>", "<next/>"
 CLOSE_LINE = CLOSE + "\n"
+TOGETHER, CHARS = 256, 2048
+SPANS = "array<struct<start:int,end:int>>"
+
+
+def _with(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _spans(pieces: Column) -> Column:
+    """Where the pieces to be trained on lie in the joined text."""
+    measured = F.transform(pieces, lambda p: F.struct(F.char_length(p["text"]).alias("n"), p["loss"].alias("loss")))
+    nothing = F.array().cast(SPANS)
+
+    def of_chunk(chunk: Column) -> Column:
+        def add(acc: Column, piece: Column) -> Column:
+            end = acc["at"] + piece["n"]
+            span = F.struct(acc["at"].alias("start"), end.alias("end"))
+            return F.struct(end.alias("at"), F.when(piece["loss"], F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+
+        return F.aggregate(chunk, F.struct(F.lit(0).alias("at"), nothing.alias("spans")), add)
+
+    def joined(acc: Column, chunk: Column) -> Column:
+        moved = F.transform(
+            chunk["spans"], lambda s: F.struct((s["start"] + acc["at"]).alias("start"), (s["end"] + acc["at"]).alias("end"))
+        )
+        return F.struct((acc["at"] + chunk["at"]).alias("at"), F.concat(acc["spans"], moved).alias("spans"))
+
+    def in_chunks(all_pieces: Column) -> Column:
+        last = F.call_function("div", F.size(all_pieces) - 1, F.lit(TOGETHER)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: of_chunk(F.slice(all_pieces, k * TOGETHER + 1, F.lit(TOGETHER))))
+
+    start = F.struct(F.lit(0).alias("at"), nothing.alias("spans"))
+    return F.aggregate(_with(measured, in_chunks), start, joined, lambda acc: acc["spans"])
 
 
 def escape(text: Column) -> Column:
@@ -80,28 +115,11 @@ def format_conversations(rows: DataFrame, loss_role: str = "assistant") -> DataF
         return F.concat(head, texts, F.array(control(F.lit(CLOSE_LINE))))
 
     pieces = blocks.withColumn("_pieces", F.flatten(F.transform("_blocks", block_pieces)))
-    spans = F.aggregate(
-        "_pieces",
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans")),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.char_length(p["text"])).alias("at"),
-            F.when(
-                p["loss"],
-                F.array_append(
-                    acc["spans"],
-                    F.struct(acc["at"].alias("start"), (acc["at"] + F.char_length(p["text"])).alias("end")),
-                ),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
     return pieces.select(
         "conv_id",
         "turns",
         F.array_join(F.transform("_pieces", lambda p: p["text"]), "").alias("formatted"),
-        spans.alias("loss_spans"),
+        _spans(F.col("_pieces")).alias("loss_spans"),
     )
 
 
@@ -120,5 +138,14 @@ def read_turns(formatted: Column) -> Column:
 
 def read_loss_text(formatted: Column, spans: Column) -> Column:
     """All text under the loss mask, unescaped, with nothing between."""
-    parts = F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["end"] - s["start"])))
-    return F.array_join(parts, "")
+
+    def read(chunks: Column) -> Column:
+        def text(span: Column) -> Column:
+            first = F.call_function("div", span["start"], F.lit(CHARS)).cast("int")
+            number = F.call_function("div", span["end"], F.lit(CHARS)).cast("int") - first + 1
+            near = F.array_join(F.slice(chunks, first + 1, number), "")
+            return unescape(F.substring(near, span["start"] - first * CHARS + 1, span["end"] - span["start"]))
+
+        return F.array_join(F.transform(spans, text), "")
+
+    return _with(F.regexp_extract_all(formatted, F.lit("(?s).{1,%d}" % CHARS), F.lit(0)), read)
