@@ -14,7 +14,7 @@ The least value is kept as one whole number, ln(a) in its upper and the sample's
 document come from plain minima. Documents are dealt by id once; counting terms and taking minima need no further shuffle.
 
 Cases: a document without words (NULL, empty or blank text) has the fingerprint of zeros; two such documents have likeness 1. Rows that share
-an id are documents of their own, one after the other in order of a hash of their text; equal rows as well. A NULL id comes first. Ids are of any
+an id are documents of their own, one after the other in order of a hash; equal rows as well. A NULL id comes first. Ids are of any
 type that can be ordered. A text of any length is one row of its own; its words are counted by many rows. Empty tables give empty results; extra
 columns are ignored.
 """
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salestax_spark.llm.common import WORD, Scratch, number_rows
+from salestax_spark.llm.common import WORD, Scratch, number_rows, row_hash
 
 SAMPLES = 32
 #: Samples whose minima one row updates; the rows of a term are repeated SAMPLES / TOGETHER times.
@@ -118,42 +118,67 @@ def fingerprints(docs: DataFrame, keys: list[str], texts: list[str], samples: in
     return weighted_samples(counts, keys, texts, samples)
 
 
-def in_order(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc_id, row, n_chars, hashes of the text) plus place, 0 to n - 1 by id, and next_row: the row at the next place, the first one after the last."""
-    numbered = number_rows(texts, [F.col("doc_id").asc_nulls_first(), F.col("_hash"), F.col("_hash2")], "place", scratch, "places")
-    numbered = scratch.write("order", numbered.select("row", "n_chars", "place"))
-    last = numbered.agg(F.max("place")).first()[0]
-    following = F.when(F.col("place") == F.lit(last), 0).otherwise(F.col("place") + 1)
-    ahead = numbered.select(F.col("place").alias("_next"), F.col("row").alias("next_row"))
-    return numbered.withColumn("_next", following.cast("long")).join(ahead, "_next").select("row", "next_row", "n_chars")
+KEY = ("_k1", "_k2")
+NEXT = ("_n1", "_n2")
+#: Equal rows of one task when they are given back one by one.
+COPIES = 10_000
+
+
+def _chained(plain: DataFrame, scratch: Scratch) -> DataFrame:
+    """Which document follows which: _k1, _k2, doc_id, n_chars, the key of the next one, and of how many equal rows this holds.
+
+    Equal rows are one entry with a count. Of c equal rows all but the last are followed by an equal one: a second row, with the entry as its own
+    successor (_own), stands for these c - 1.
+    """
+    narrow = plain.groupBy(*KEY, "doc_id").agg(F.first(F.char_length("text").cast("long")).alias("n_chars"), F.count("*").alias("_copies"))
+    numbered = number_rows(narrow, [F.col("doc_id").asc_nulls_first(), *map(F.col, KEY)], "_place", scratch, "places")
+    numbered = scratch.write("order", numbered)
+    last = numbered.agg(F.max("_place")).first()[0]
+    following = F.when(F.col("_place") == F.lit(last), 0).otherwise(F.col("_place") + 1)
+    ahead = numbered.select(F.col("_place").alias("_next"), *[F.col(k).alias(n) for k, n in zip(KEY, NEXT, strict=True)])
+    chain = numbered.withColumn("_next", following.cast("long")).join(ahead, "_next")
+    rows = chain.select(*KEY, "doc_id", "n_chars", *NEXT, F.lit(False).alias("_own"), F.lit(1).cast("long").alias("_times"))
+    equal = numbered.where("_copies > 1").select(
+        *KEY, "doc_id", "n_chars", *[F.col(k).alias(n) for k, n in zip(KEY, NEXT, strict=True)], F.lit(True).alias("_own"), (F.col("_copies") - 1).alias("_times")
+    )
+    return rows.unionByName(equal)
+
+
+def _one_by_one(rows: DataFrame) -> DataFrame:
+    """Rows with _times of 1 as they are; others as often as that says, COPIES to a task."""
+    many = rows.where("_times > 1")
+    parts = F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col("_times") - 1, F.lit(COPIES)))
+    many = many.withColumn("_part", F.explode(parts)).repartition("_part", *KEY)
+    here = F.least(F.lit(COPIES).cast("long"), F.col("_times") - F.col("_part") * COPIES)
+    many = many.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), here)))
+    return rows.where("_times = 1").unionByName(many.select(*rows.columns))
 
 
 def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """Fingerprints of every document and of its edited text, whose last quarter is replaced by the opening of the next document."""
     scratch = Scratch(docs.sparkSession, "fingerprints")
-    text = F.coalesce("text", F.lit(""))
-    # Written with a number per row, by which everything that is found out about a row comes back to it.
-    texts = scratch.write("texts", docs.select("doc_id", text.alias("text")).withColumn("row", F.monotonically_increasing_id()))
-    narrow = texts.select(
-        "doc_id", "row", F.char_length("text").cast("long").alias("n_chars"), F.xxhash64("text").alias("_hash"), F.xxhash64(F.lit(1), "text").alias("_hash2")
-    )
-    chain = scratch.write("chain", in_order(narrow, scratch))
+    plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    plain = plain.select("*", *[row_hash(F.col("doc_id"), F.col("text"), seed=k).alias(name) for k, name in enumerate(KEY)])
+    chain = scratch.write("chain", _chained(plain, scratch))
+    texts = plain.groupBy(*KEY).agg(F.first("text").alias("text"))
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    heads = texts.select(F.col("row").alias("next_row"), F.col("text").alias("_next_text")).join(chain, "next_row")
-    heads = heads.select("row", "next_row", "n_chars", F.substring("_next_text", F.lit(1), quarter).alias("_head"))
+    openings = texts.select(*[F.col(k).alias(n) for k, n in zip(KEY, NEXT, strict=True)], F.col("text").alias("_next_text"))
+    heads = openings.join(chain, list(NEXT)).select(*chain.columns, F.substring("_next_text", F.lit(1), quarter).alias("_head"))
     kept = F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - quarter).cast("int"))
-    edited = texts.join(heads, "row").select("row", "doc_id", "next_row", "n_chars", "text", F.concat(kept, "_head").alias("edited"))
-    prints = fingerprints(edited.select("row", "text", "edited"), ["row"], ["text", "edited"], samples)
-    facts = edited.select("row", "doc_id", "next_row", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"))
+    edited = texts.join(heads, list(KEY)).select(*chain.columns, "text", F.concat(kept, "_head").alias("edited"))
+    key = [*KEY, "_own"]
+    prints = fingerprints(edited.select(*key, "text", "edited"), key, ["text", "edited"], samples)
+    facts = edited.select(*chain.columns, F.sha2(F.col("edited"), 256).alias("edited_sha256"))
     nothing = F.lit("0" * (samples * NAME_BITS // 4))
-    joined = facts.join(prints, "row", "left").select(
-        "row", "doc_id", "next_row", "n_chars", "edited_sha256",
+    joined = facts.join(prints, key, "left").select(
+        *chain.columns, "edited_sha256",
         F.coalesce("text_fingerprint", nothing).alias("fingerprint"), F.coalesce("edited_fingerprint", nothing).alias("edited_fingerprint"),
     )
     done = scratch.write("done", joined)
-    nexts = done.select(F.col("row").alias("next_row"), F.col("fingerprint").alias("_next_print"))
-    return done.join(nexts, "next_row").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+    nexts = done.where("not _own").select(*[F.col(k).alias(n) for k, n in zip(KEY, NEXT, strict=True)], F.col("fingerprint").alias("_next_print"))
+    likened = done.join(nexts, list(NEXT)).select(
+        *KEY, "_times", "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("_next_print")).alias("near_next"),
     )
+    return _one_by_one(likened).drop(*KEY, "_times")
