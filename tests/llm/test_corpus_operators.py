@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salestax_spark.llm import chat, fingerprint, jaccard, language, linededup, mixing, neardup, packing, secrets, warc
+from salestax_spark.llm.common import Scratch
 from salestax_spark.llm.components import connected_components
 from salestax_spark.llm.shingles import Shingler
 
@@ -324,10 +325,68 @@ def test_mix(spark):
 
 def test_tree_keeps_every_quota(spark):
     quotas = spark.createDataFrame([(1, 37), (2, 0), (3, 100)], "_rank long, _quota long")
-    rows = mixing.splitting_tree(quotas, 8, 1).collect()
+    rows = mixing.shard_blocks(mixing.shard_quotas(quotas, 8, 1, Scratch(spark, "tree"))).collect()
     assert sorted((r._rank, r._block) for r in rows) == [(1, b) for b in range(37)] + [(3, b) for b in range(100)]
     per_shard = [sum(r.shard == s for r in rows) for s in range(8)]
     assert max(per_shard) - min(per_shard) <= 2
+    # A shard's blocks of a source are next to each other: its quota, drawn from where the shard before it ended.
+    for rank in (1, 3):
+        assert [r.shard for r in sorted(rows, key=lambda r: r._block) if r._rank == rank] == sorted(r.shard for r in rows if r._rank == rank)
+
+
+def test_quotas_are_hypergeometric(spark):
+    """Many seeds: mean and variance of a shard's blocks of a source are those of draws without replacement."""
+    quotas = {1: 40, 2: 16, 3: 8}
+    df = spark.createDataFrame(list(quotas.items()), "_rank long, _quota long")
+    drawn = {rank: [] for rank in quotas}
+    for seed in range(25):
+        urns = mixing._urns(seed)
+        root = df.select(F.lit(0).cast("long").alias("shard"), (F.col("_rank") % 2).alias("_group"), "_rank", "_quota")
+        rows = mixing._split(mixing._split(root, 0, seed, urns), 1, seed, urns)
+        found = {(r.shard, r._rank): r._quota for r in rows.collect()}
+        for rank, quota in quotas.items():
+            per_shard = [found.get((shard, rank), 0) for shard in range(4)]
+            assert sum(per_shard) == quota
+            drawn[rank] += per_shard
+        assert [sum(found.get((shard, rank), 0) for rank in quotas) for shard in range(4)] == [16] * 4
+    total, size = 64, 16
+    for rank, quota in quotas.items():
+        share = quota / total
+        assert abs(np.mean(drawn[rank]) - size * share) < 1e-9
+        variance = size * share * (1 - share) * (total - size) / (total - 1)
+        assert 0.6 * variance < np.var(drawn[rank]) < 1.5 * variance
+
+
+def test_many_sources(spark):
+    """Five thousand sources of one to three documents, one of them with a third of all words."""
+    docs = spark.range(15_000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 5000).cast("string"))).alias("source"),
+        F.repeat(F.lit("w "), (F.col("id") % 7).cast("int")).alias("text"),
+    )
+    rows = mixing.shard_report(docs, shards=8, blocks_per_shard=1024).collect()
+    sources = mixing.mix_report(docs)
+    words = sources.agg(F.sum("taken").alias("taken"), F.sum("size").alias("size")).first()
+    assert sum(r.words for r in rows) == words.taken and abs(words.taken / words.size - 1.5) < 0.05
+    blocks = [sum(r.blocks for r in rows if r.shard == shard) for shard in range(8)]
+    assert max(blocks) - min(blocks) <= 3
+
+
+def test_targets_stop_at_their_cap(spark):
+    """Sizes that make source after source full, against the definition: share, cut, share the excess again."""
+    sizes = [1, 2, 4, 8, 16, 32, 5000, 9000, 0]
+    df = spark.createDataFrame([(f"s{i}", f"{i}", n) for i, n in enumerate(sizes)], "_key string, source string, _size long")
+    table, words = mixing.source_targets(df, Scratch(spark, "targets"))
+    got = [r.target for r in table.orderBy("_rank").collect()]
+    weight = [(5, 2, 1)[i % 3] for i in range(len(sizes))]
+    left, open_, want = 1.5 * sum(sizes), set(range(len(sizes))), {}
+    while open_:
+        unit = left / sum(weight[i] for i in open_)
+        full = {i for i in open_ if unit * weight[i] > 2 * sizes[i]}
+        want |= {i: 2 * sizes[i] if i in full else unit * weight[i] for i in (full or open_)}
+        left -= sum(2 * sizes[i] for i in full)
+        open_ = open_ - full if full else set()
+    assert np.allclose(got, [want[i] for i in range(len(sizes))], rtol=1e-12) and abs(sum(got) - words) < 1e-6
 
 
 def test_held_out_is_the_checksum(spark):
