@@ -1,5 +1,6 @@
 """Each corpus operator on small hand-made rows: hard cases against expected or brute-force results."""
 
+import collections
 import hashlib
 import itertools
 import random
@@ -275,6 +276,35 @@ def test_line_runs_equal_brute_force(spark, docs):
     assert linededup.delete_repeated_runs(docs("a").limit(0)).count() == 0
 
 
+def test_ranks_are_those_of_a_sorted_suffix_array(spark, docs):
+    rng = random.Random(8)
+    pool = [f"line number {i}" for i in range(4)]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 30))) for _ in range(25)]
+    scratch = Scratch(spark, "suffixes")
+    lines = scratch.write("lines", linededup._lines(docs(*texts), "doc_id", "text"))
+    ids = {}
+    for r in lines.collect():
+        ids.setdefault(bytes(r._doc), {})[r._i] = (r._line, r._line2)
+    for k, level in enumerate(linededup.doubled_ranks(lines, 16, scratch)):
+        prefixes = {(d, i): tuple(own[j] for j in range(i, i + 2**k)) for d, own in ids.items() for i in own if i + 2**k <= len(own)}
+        often = {p for p, n in collections.Counter(prefixes.values()).items() if n > 1}
+        place = {p: n for n, p in enumerate(sorted(often))}
+        assert {(bytes(r._doc), r._i): r._rank for r in level.collect()} == {at: place[p] for at, p in prefixes.items() if p in often}
+
+
+def test_line_runs_at_their_limits(spark, docs):
+    """A text of one very long line, of very many lines, a hot line, and equal rows with equal and with no ids."""
+    hot = "this very line is held by every third document of the table and has well over twenty words so that it is a run of its own"
+    many = "\n".join(f"{i} a" for i in range(20_000))
+    texts = [many, "w " * 200_000, many, *[hot if i % 3 == 0 else f"only here {i}" for i in range(90)]]
+    df = docs(*texts).withColumn("doc_id", F.when(F.col("doc_id") < 90, F.col("doc_id"))).union(docs(many).select("*"))
+    got = [(r.doc_id, r.n_lines, len(r.removed_runs), r.text) for r in linededup.delete_repeated_runs(df).collect()]
+    assert len(got) == len(texts) + 1
+    # Equal id and text are one document; of the others all but the first go.
+    assert sorted(n for i, n, runs, t in got if t == many) == [20_000] * 2 and [t for i, n, runs, t in got if i == 2] == [""]
+    assert sum(t == hot for *_, t in got) in (1, 2) and sum(runs for _, _, runs, _ in got) >= 29
+
+
 def test_boundaries_are_optimal():
     rng = random.Random(2)
     for _ in range(200):
