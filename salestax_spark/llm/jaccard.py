@@ -3,7 +3,8 @@
 Unrelated texts are all at distance 1 of each other, so a fixed set of pivots would put nearly everything into one region. Pivots
 are therefore taken where documents can be near each other, in these steps:
 
-1. Documents with the same shingle set are one point (its class, a 64-bit hash of the set).
+1. Documents with the same shingle set are one point (its class, a 64-bit hash of the set; a second hash tells whether two different sets
+   got the same name, and if any did, all are named anew with another seed).
 2. Regions. In any order of all shingles, two linked sets share at least one of their first ``n - ceil(s n) + 1`` shingles,
    and ``e`` more if both prefixes are longer by ``e``. A point none of whose prefix shingles, or too few of them, occur elsewhere has no
    neighbour. For every other shared prefix shingle the least point that has it is the pivot; the pivot's region is all points that
@@ -18,12 +19,14 @@ are therefore taken where documents can be near each other, in these steps:
 Joins emit a spanning forest of the links they find, not all pairs. Regions are dealt by plain joins of written tables, so
 Spark can split hot ones. Tables of shingles and texts grow with the input and are merged, never broadcast, at any size.
 
-Sizes: the list of frequent shingles has at most FREQUENT entries. Nothing else is gathered on the driver but counts.
+Sizes: the list of frequent shingles has at most FREQUENT entries. Nothing else is gathered on the driver but counts. A task that joins regions
+holds the texts of about BUCKET points or BUCKET_BYTES, whichever is less, and of one region at least; a region whose texts are longer than
+POINT_BYTES each counts as one of so many more points, and is cut into pieces accordingly.
 
 Cases: documents without words or with NULL text have no shingles and link with nothing. Fewer words than a shingle: all words are one
 shingle. Repeated rows, and rows with equal ids, are one group if their texts are linked. A NULL id takes part; a group's
-smallest id is NULL only if all are. An empty table gives an empty result; extra columns are ignored. Sets are compared by 64-bit hashes of
-their shingles: among a thousand million different sets, two would get one class with a chance of 3 in 100.
+smallest id is NULL only if all are. An empty table gives an empty result; extra columns are ignored. Rows are named by 128 bits of id and
+text. Shingles are compared by hashes of 64 bits.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salestax_spark.llm.common import Scratch, row_hash, set_aside
+from salestax_spark.llm.common import Scratch, set_aside
 from salestax_spark.llm.components import connected_components
 from salestax_spark.llm.shingles import Shingler
 
@@ -45,50 +48,67 @@ PIVOTS = 16
 FREQUENT = 65_536
 OFTEN = 16  # documents a shingle must be counted in to be listed
 BUCKET = 1500  # points a task of small regions holds, about
+BUCKET_BYTES = 64 << 20  # and the bytes of their texts
+POINT_BYTES = 128 << 10  # a text of a region may have without counting as several points
 RING = 0.05  # slack on window borders against rounding, as a share of the distance
 
 
 def row_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
-    return row_hash(F.col(id_column), F.col(text_column))
+    """128 bits that name a row by its id and text."""
+    name, text = F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.coalesce(F.col(text_column), F.lit(""))
+    kinds = F.concat(F.col(id_column).isNull().cast("int").cast("string"), F.col(text_column).isNull().cast("int").cast("string"))
+    return F.unhex(F.md5(F.concat(kinds, F.char_length(name).cast("string"), F.lit(":"), name, text)))
 
 
-def _class(shingles: np.ndarray) -> int:
-    return xxhash.xxh64_intdigest(shingles.tobytes()) - (1 << 63)
+def _class(shingles: np.ndarray, seed: int) -> int:
+    return xxhash.xxh64_intdigest(shingles.tobytes(), seed) - (1 << 63)
 
 
 def _raw(text_column: str) -> Column:
     return F.encode(F.col(text_column), "UTF-8").alias("_raw")
 
 
-def _scan(docs: DataFrame, text_column: str, words: int) -> DataFrame:
-    """kind 0: row, doc_id, n, class. kind 1: a shingle (in class) and in how many sets of a batch it occurs (in n)."""
+def _scan(docs: DataFrame, text_column: str, words: int, seed: int) -> DataFrame:
+    """kind 0: row, n, class, and a second hash to check it. kind 1: a shingle (in class) and in how many sets of a batch it occurs (in n)."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
-        schema = pa.schema([("kind", pa.int8()), ("row", pa.int64()), ("n", pa.int64()), ("cls", pa.int64())])
+        schema = pa.schema([("kind", pa.int8()), ("row", pa.binary()), ("n", pa.int64()), ("cls", pa.int64()), ("check", pa.int64())])
         for batch in batches:
-            rows, sizes, classes, seen, sets = batch.column(0), [], [], set(), []
+            rows, sizes, classes, checks, seen, sets = batch.column(0), [], [], [], set(), []
             for s in shingler.sets(batch.column(1).to_pylist()):
                 sizes.append(len(s))
-                classes.append(_class(s) if len(s) else None)
+                classes.append(_class(s, seed) if len(s) else None)
+                checks.append(_class(s, seed + 1000) if len(s) else None)
                 if len(s) and classes[-1] not in seen:
                     seen.add(classes[-1])
                     sets.append(s)
             kinds = pa.array(np.zeros(len(rows), np.int8))
-            yield pa.RecordBatch.from_arrays([kinds, rows, pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())], schema=schema)
+            numbers = [pa.array(column, pa.int64()) for column in (sizes, classes, checks)]
+            yield pa.RecordBatch.from_arrays([kinds, rows.cast(pa.binary()), *numbers], schema=schema)
             if sets:
                 values, counts = np.unique(np.concatenate(sets), return_counts=True)
                 often = counts >= 3
                 values, counts = values[often].view(np.int64), counts[often]
-                nothing = pa.nulls(len(values), pa.int64())
+                nobody, nothing = pa.nulls(len(values), pa.binary()), pa.nulls(len(values), pa.int64())
                 ones = pa.array(np.ones(len(values), np.int8))
-                yield pa.RecordBatch.from_arrays([ones, nothing, pa.array(counts, pa.int64()), pa.array(values)], schema=schema)
+                yield pa.RecordBatch.from_arrays([ones, nobody, pa.array(counts, pa.int64()), pa.array(values), nothing], schema=schema)
 
     rows = docs.select(F.col("_row"), _raw(text_column))
-    return rows.mapInArrow(scan, "kind tinyint, row long, n long, cls long")
+    return rows.mapInArrow(scan, "kind tinyint, row binary, n long, cls long, check long")
 
 
-def _prefixes(docs: DataFrame, text_column: str, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
+def _named(docs: DataFrame, text_column: str, words: int, scratch: Scratch) -> tuple[DataFrame, int]:
+    """The scan, and the seed by which its classes are named so that no two sets share one."""
+    for seed in range(8):
+        scan = scratch.write(f"scan-{seed}", _scan(docs, text_column, words, seed))
+        ends = scan.where("kind = 0 and cls is not null").groupBy("cls").agg(F.min("check").alias("_low"), F.max("check").alias("_high"))
+        if ends.where("_low <> _high").isEmpty():
+            return scan, seed
+    raise RuntimeError("sets can't be named")
+
+
+def _prefixes(docs: DataFrame, text_column: str, words: int, percent: int, frequent: np.ndarray, seed: int) -> DataFrame:
     """(shingle, cls, n): the prefix of every set, once per task."""
 
     def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +117,7 @@ def _prefixes(docs: DataFrame, text_column: str, words: int, percent: int, frequ
             parts, classes, sizes = [], [], []
             for s in shingler.sets(batch.column(0).to_pylist()):
                 n = len(s)
-                if not n or (c := _class(s)) in seen:
+                if not n or (c := _class(s, seed)) in seen:
                     continue
                 seen.add(c)
                 at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
@@ -207,13 +227,13 @@ def _joined(tasks: DataFrame, texts: DataFrame, words: int, percent: int, distan
         names = ["region", "a", "b", "distance"]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    loaded = tasks.join(texts.hint("merge"), "cls").select("bucket", "region", "cls", "first", "_raw")
+    loaded = tasks.join(texts.drop("size").hint("merge"), "cls").select("bucket", "region", "cls", "first", "_raw")
     return loaded.groupBy("bucket").applyInArrow(join, "region long, a long, b long, distance double")
 
 
-def _dealt(tasks: DataFrame, points: int) -> DataFrame:
-    """``bucket``: several small regions make one task."""
-    return tasks.withColumn("bucket", F.pmod(F.xxhash64("region"), F.lit(max(1, points // BUCKET))))
+def _dealt(tasks: DataFrame, points: int, size: int) -> DataFrame:
+    """``bucket``: several small regions make one task. ``points`` and ``size``: points and bytes of all tasks."""
+    return tasks.withColumn("bucket", F.pmod(F.xxhash64("region"), F.lit(max(1, points // BUCKET, size // BUCKET_BYTES))))
 
 
 def _large_regions(large: DataFrame, texts: DataFrame, links: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
@@ -305,13 +325,13 @@ def jaccard_classes(
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     keyed = docs.withColumn("_row", row_key(id_column, text_column))
-    scan = scratch.write("scan", _scan(keyed, text_column, words))
+    scan, seed = _named(keyed, text_column, words, scratch)
     counts = scan.where("kind = 1").groupBy("cls").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
     top = counts.orderBy(F.desc("n"), "cls").limit(FREQUENT).toPandas()
     frequent = np.sort(top["cls"].to_numpy(np.int64).view(np.uint64))
     rows = scan.where("kind = 0").select("row", "n", "cls")
 
-    prefixes = _prefixes(keyed, text_column, words, percent, frequent)
+    prefixes = _prefixes(keyed, text_column, words, percent, frequent, seed)
     shared = scratch.write("shared", _shared(prefixes))
     members = scratch.write("members", prefixes.join(shared.select("shingle").hint("merge"), "shingle"))
     scratch.release()
@@ -326,19 +346,25 @@ def jaccard_classes(
     near = scratch.write("near", members.join(alive, "cls").join(shared, "shingle").select("pivot", "cls").distinct())
     stars = scratch.write("regions", near.unionByName(near.select("pivot", F.col("pivot").alias("cls"))).distinct())
     sizes = scratch.write("sizes", stars.groupBy("pivot").agg(F.count("*").alias("points")).where("points > 1"))
-    regions = stars.join(sizes, "pivot").select(F.col("pivot").alias("region"), "cls", "points", F.lit(False).alias("first"))
-    regions = scratch.write("dealt", regions)
+    members_of = stars.join(sizes, "pivot").select(F.col("pivot").alias("region"), "cls", "points", F.lit(False).alias("first"))
+    members_of = scratch.write("dealt", members_of)
 
     scratch.drop("near", "regions", "members-1")
     scratch.release()
-    wanted = regions.select("cls").distinct()
+    wanted = members_of.select("cls").distinct()
     chosen = rows.join(wanted, "cls").groupBy("cls").agg(F.min("row").alias("_row"))
     texts = keyed.select("_row", _raw(text_column)).join(scratch.write("chosen", chosen).hint("merge"), "_row").select("cls", "_raw")
-    texts = scratch.write("texts", texts.dropDuplicates(["cls"]))
+    texts = scratch.write("texts", texts.dropDuplicates(["cls"]).withColumn("size", F.octet_length("_raw").cast("long")))
     scratch.release()
 
+    # Long texts make a region larger than its points: see POINT_BYTES.
+    heavy = texts.where(F.col("size") > POINT_BYTES).select("cls", F.call_function("div", F.col("size"), F.lit(POINT_BYTES)).alias("_more"))
+    more = members_of.join(heavy, "cls").groupBy("region").agg(F.sum("_more").alias("_more"))
+    weighed = members_of.join(more, "region", "left")
+    regions = scratch.write("weighed", weighed.select("region", "cls", (F.col("points") + F.coalesce("_more", F.lit(0))).alias("points"), "first"))
     small = regions.where(F.col("points") <= REGION)
-    links = _joined(_dealt(small, small.count()), texts, words, percent, distances=False)
+    held = small.join(texts.select("cls", "size"), "cls").agg(F.count("*").alias("points"), F.sum("size").alias("size")).first()
+    links = _joined(_dealt(small, held.points, held.size or 0), texts, words, percent, distances=False)
     links = scratch.write("links", links.select("a", "b"))
     large = regions.where(F.col("points") > REGION).select("region", "cls", "points")
     if not large.isEmpty():

@@ -422,3 +422,24 @@ def test_targets_stop_at_their_cap(spark):
 def test_held_out_is_the_checksum(spark):
     got = {r.id: r.h for r in spark.range(50).select("id", language.held_out("id").alias("h")).collect()}
     assert got == {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in range(50)}
+
+
+def test_sets_that_share_a_name_are_named_anew(spark, docs, monkeypatch):
+    """A hash that gives every set one name at the first seed: the second one is used, and the groups are as before."""
+    plain = jaccard._class
+    monkeypatch.setattr(jaccard, "_class", lambda shingles, seed: 7 if seed == 0 else plain(shingles, seed))
+    texts = ["a b c d e f", "g h i j k l", "a b c d e f", "g h i j k l m"]
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_classes(docs(*texts)).collect()}
+    assert got == {0: 0, 1: 1, 2: 0, 3: 3}
+
+
+def test_long_texts_make_a_region_larger(spark, docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "POINT_BYTES", 64)
+    monkeypatch.setattr(jaccard, "BUCKET_BYTES", 1024)
+    monkeypatch.setattr(jaccard, "REGION", 12)
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(500)}" for _ in range(120)]
+    texts = [_edited(rng, base, rng.randrange(6)) for _ in range(25)] + ["v " + " ".join(f"v{i}" for i in range(40)), "one two", None]
+    sizes, roots = _groups(texts, 4, 85)
+    got = {r.doc_id: r for r in jaccard.jaccard_classes(docs(*texts)).collect()}
+    assert [got[i].component_id for i in range(len(texts))] == roots and [got[i].n_shingles for i in range(len(texts))] == sizes

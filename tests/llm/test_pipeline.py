@@ -122,6 +122,30 @@ def test_stages_equal_brute_force(spark, table, tmp_path):
     assert len(set(slots)) == len(slots)
 
 
+def test_what_line_dedup_leaves_of_near_copies(spark, tmp_path):
+    """Near copies that share lines lose those lines in the stage before, so that what is left of them is no near copy of anything any more;
+    those broken into other lines reach the near-duplicate stage as they are, and one of each group stays there."""
+    rng = random.Random(3)
+    rows = []
+    for g in range(20):
+        words = [f"g{g}w{rng.randrange(10**6)}" for _ in range(300)]
+        # A few words replaced inside one line; the other lines are those of the first text.
+        lines = [words[i : i + 30] for i in range(0, 300, 30)]
+        edited = [list(line) for line in lines]
+        edited[4][3:9] = ["x"] * 6
+        rows += [(10 * g, "\n".join(map(" ".join, lines))), (10 * g + 1, "\n".join(map(" ".join, edited)))]
+        # The same few words replaced, and broken after other words.
+        flat = [w for line in edited for w in line]
+        rows.append((10 * g + 2, "\n".join(" ".join(flat[i : i + 7]) for i in range(0, 300, 7))))
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en")).withColumn("source", F.lit("s"))
+    df = df.withColumn("n_chars", F.length("text").cast("long"))
+    cut = corpus_pipeline.dedup_lines(spark, df, "")
+    left = {r.doc_id: len(r.text.split()) for r in cut.collect()}
+    assert all(left[10 * g] == 300 and left[10 * g + 1] == 30 and left[10 * g + 2] == 300 for g in range(20))
+    kept = {r.doc_id for r in corpus_pipeline.dedup_near(spark, cut, "").collect()}
+    assert kept == {10 * g + k for g in range(20) for k in (0, 1)}
+
+
 def test_run_passes_empty_tables(spark, table, tmp_path):
     spark.read.parquet(f"{table}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -10,7 +10,10 @@ import zlib
 
 import numpy as np
 import pytest
+import regex
+import zstandard
 
+from salestax_spark.llm import language
 from salestax_spark.llm.queries import ORACLES, QUERIES
 from testbed.parity import _normal, duck
 
@@ -49,6 +52,24 @@ def test_language_accuracy_on_held_out_rows(spark, con):
     assert sum(r.lang_pred == known[r.doc_id] for r in judged) >= 0.9 * len(judged)
 
 
+def test_languages_equal_plain_compression(spark, con, texts):
+    """Every whole text against zstandard used by hand: the language whose dictionary makes its blocks smallest, and by how much."""
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    dictionaries = language.learn_dictionaries(table.where("pmod(crc32(CAST(doc_id AS string)), 4) <> 2"))
+    plain = {
+        name: zstandard.ZstdCompressor(level=5, dict_data=zstandard.ZstdCompressionDict(d, dict_type=1), write_content_size=False, write_dict_id=False)
+        for name, d in dictionaries.items()
+    }
+    for r in QUERIES["op1_language_id"](spark, SF_DIR).collect():
+        raw = regex.sub(r"[^\p{L}\p{M}]+", " ", texts[r.doc_id] or "").lower().encode()
+        if not regex.search(r"\p{L}", texts[r.doc_id] or ""):
+            assert (r.lang_pred, r.score, r.lang_rejected) == ("und", 0.0, True)
+            continue
+        sizes = sorted((sum(len(c.compress(raw[i : i + 4096])) for i in range(0, len(raw), 4096)), name) for name, c in plain.items())
+        lead = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
+        assert (r.lang_pred, r.score) == (sizes[0][1], lead) and r.lang_rejected == (lead < 0.002)
+
+
 def test_secrets(spark, texts):
     plain = (
         ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 12, 2),
