@@ -248,8 +248,9 @@ def near_duplicates(
     rooted = scratch.write("rooted", rooted)
     members = rooted.where("root is not null").join(points.select("point", "vector"), "point").select("point", "root", "copies", "vector")
     links = scratch.write("links", _count_links(members, threshold, scratch))
-    rooted = rooted.select("point", "copies", "least", F.coalesce("root", "point").alias("root"))
-    roots = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Both sides of the join below are plain written tables, so that the tasks of a large component can be split.
+    rooted = scratch.write("in-components", rooted.select("point", "copies", "least", F.coalesce("root", "point").alias("root")))
+    roots = scratch.write("roots", rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     classes = (
         rooted.join(roots, "root")
         .join(links, "point", "left")

@@ -8,8 +8,8 @@ Kinds, in the order that decides ties: ``assign``, ``access``, ``hex``, then tok
 (CRC-32 of the random part, in base 62 or hexadecimal): ``github``, ``npm``, ``grafana``; these count only if the checksum holds.
 Matches of a kind are leftmost and do not overlap; too short ones are dropped after that.
 
-Cases: a NULL text is an empty one. Repeated rows are scanned each. Extra columns are carried along. An empty table gives an
-empty result. Arrow batches are read a text at a time, so one text at a time is expanded.
+Cases: a NULL text is an empty one. Repeated rows are scanned each. Extra columns are carried along, but for one called ``secret_spans``, which is
+replaced. An empty table gives an empty result. Arrow batches are read a text at a time, so one text at a time is expanded.
 """
 
 from __future__ import annotations
