@@ -1,14 +1,18 @@
 """Document fingerprints by consistent weighted sampling, in SQL functions only.
 
 The terms of a document are its words in lower case, their weights how often they occur. For sample ``k`` and term ``t`` three
-numbers come from hashes of ``t`` and ``k`` alone: r and c of a gamma distribution with shape 2 (minus the logarithm of
-a product of two uniform numbers) and b, uniform. With weight ``w``::
+numbers come from one hash of ``t`` and ``k``: r and c of a gamma distribution with shape 2, and b, uniform. With weight ``w``::
 
     q = floor(ln(w) / r + b);    ln a = ln(c) - r * (q - b) - r
 
 The sample is the (term, q) with the least ``a``. Two documents have the same sample with a probability equal to their generalised
 Jaccard similarity: the sum of the lesser weights over the sum of the greater ones. A fingerprint is SAMPLES samples of
-24 bits, in hexadecimal; likeness is the share of equal ones, which has a standard error of at most 0.5 / sqrt(SAMPLES).
+NAME_BITS bits, in hexadecimal; likeness is the share of equal ones. Its standard error is at most 0.5 / sqrt(SAMPLES), 0.051, and different
+samples look equal once in 4,095 times.
+
+r and ln(c) are read off tables of quantiles, because logarithms were most of the time of a draw: CELLS equal shares of the
+distribution, each by its middle, and where the end of it counts (large r, small c) that cell is divided once more. For weights that are all
+1, any table gives exactly Jaccard's likeness; for others it is a sum in place of the integral over r and c.
 
 The least value is kept as one whole number, ln(a) in its upper and the sample's name in its lower bits, so the samples of a
 document come from plain minima. Documents are dealt by id once; counting terms and taking minima need no further shuffle.
@@ -21,67 +25,102 @@ columns are ignored.
 
 from __future__ import annotations
 
+import functools
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salestax_spark.llm.common import WORD, Scratch, number_rows, row_hash
 
-SAMPLES = 32
-#: Samples whose minima one row updates; the rows of a term are repeated SAMPLES / TOGETHER times.
-TOGETHER = 4
-NAME_BITS = 24
+SAMPLES = 96
+#: Samples whose minima one row updates; the rows of a term are repeated SAMPLES / TOGETHER times. The generated method has some 2,400
+#: bytes for each, and one of more than 8,000 is not compiled, which makes it ten times slower.
+TOGETHER = 3
+NAME_BITS = 12
+DIGITS = NAME_BITS // 4
 #: ln(a) is stored as (ln(a) + SHIFT) * SCALE; it lies between about -60 and 10.
-SHIFT, SCALE = 128.0, float(1 << 30)
-UNIT_BITS = 21
+SHIFT, SCALE = 128.0, float(1 << 40)
+#: Bits of a hash, from the top: cell of c, part of its first cell; cell of r, part of its last cell; b, whose last ones also name the term.
+CELL_BITS, B_BITS = 10, 24
+CELLS = 1 << CELL_BITS
+#: ln of an absent term's weight, and the value of its sample.
+ABSENT, NOTHING = -1e300, (1 << 63) - 1
+
+
+def _quantiles(share: np.ndarray, upper: bool) -> np.ndarray:
+    """Where a gamma distribution with shape 2 reaches ``share``, counted from below or from above; by bisection."""
+    low, high = np.zeros(len(share)), np.full(len(share), 64.0)
+    for _ in range(80):
+        middle = (low + high) / 2
+        above = (1 + middle) * np.exp(-middle)
+        small = above > share if upper else -np.expm1(np.log1p(middle) - middle) < share
+        low, high = np.where(small, middle, low), np.where(small, high, middle)
+    return (low + high) / 2
+
+
+@functools.cache
+def _table(of_r: bool) -> str:
+    """Middles of equal shares, then of those of the end cell, as r * SCALE or (ln(c) + SHIFT) * SCALE, with blanks between them."""
+    middles = (np.arange(CELLS) + 0.5) / CELLS
+    if of_r:
+        value = np.concatenate([_quantiles(middles, upper=False), _quantiles(middles / CELLS, upper=True)]) * SCALE
+    else:
+        value = (np.log(_quantiles(np.concatenate([middles, middles / CELLS]), upper=False)) + SHIFT) * SCALE
+    return " ".join(map(repr, value.tolist()))
+
 
+def _look_up(of_r: bool, cell: Column, part: Column) -> Column:
+    """``part`` counts from the end of the distribution. The table is a constant, folded once."""
+    table = F.split(F.lit(_table(of_r)), " ").cast("array<double>")
+    return F.coalesce(table[F.when(cell == (CELLS - 1 if of_r else 0), part.bitwiseOR(F.lit(CELLS))).otherwise(cell)], F.lit(0.0))
 
-def _units(word: Column) -> list[Column]:
-    """Three uniform numbers in (0, 1) from the 64 bits of a hash."""
-    mask = (1 << UNIT_BITS) - 1
-    return [(F.shiftrightunsigned(word, UNIT_BITS * i).bitwiseAND(F.lit(mask)) + 0.5) / float(1 << UNIT_BITS) for i in range(3)]
+
+def _groups(samples: int) -> int:
+    return -(-samples // TOGETHER)
+
+
+def _bits(word: Column, above: int, count: int) -> Column:
+    """``count`` bits of a long that lie over its last ``above`` ones."""
+    return F.shiftrightunsigned(word, above).bitwiseAND(F.lit((1 << count) - 1))
 
 
 def weighted_samples(counts: DataFrame, keys: list[str], weights: list[str], samples: int = SAMPLES, seed: int = 7) -> DataFrame:
     """``counts``: one row per key and term (a long) with one or more weight columns. Result: keys, one fingerprint per weight column.
 
-    The fingerprint column of weight ``w`` is ``w_fingerprint``. A weight of 0 or NULL means that the term is absent. Keys without any
+    ``samples`` is rounded up to a multiple of TOGETHER. The fingerprint column of weight ``w`` is ``w_fingerprint``. A weight of 0 or NULL means that the term is absent. Keys without any
     weight over 0 in a column have NULL there.
     """
-    groups = samples // TOGETHER
-    dealt = counts.withColumn("_group", F.explode(F.array(*[F.lit(g) for g in range(groups)])))
-    parts = []
-    for j in range(TOGETHER):
-        number = F.col("_group") * TOGETHER + j
-        parts += [
-            F.xxhash64("term", number, F.lit(seed)).alias(f"_h{j}"),
-            F.xxhash64("term", number, F.lit(seed + 1)).alias(f"_i{j}"),
-        ]
-    logs = [F.when(F.col(w) > 0, F.log(F.col(w).cast("double"))).alias(f"_ln_{w}") for w in weights]
-    hashed = dealt.select(*keys, "_group", "term", *logs, *parts)
-    draws = []
-    for j in range(TOGETHER):
-        u1, u2, u3 = _units(F.col(f"_h{j}"))
-        u4, u5, _ = _units(F.col(f"_i{j}"))
-        draws += [(-F.log(u1 * u2)).alias(f"_r{j}"), F.log(-F.log(u3 * u4)).alias(f"_c{j}"), u5.alias(f"_b{j}")]
-    drawn = hashed.select(*keys, "_group", "term", *[f"_ln_{w}" for w in weights], *draws)
-    steps = [
-        F.floor(F.col(f"_ln_{w}") / F.col(f"_r{j}") + F.col(f"_b{j}")).alias(f"_q{j}_{w}") for w in weights for j in range(TOGETHER)
-    ]
-    stepped = drawn.select("*", *steps)
-    least = []
-    for w in weights:
-        for j in range(TOGETHER):
-            q, r = F.col(f"_q{j}_{w}"), F.col(f"_r{j}")
-            ln_a = F.col(f"_c{j}") - r * (q - F.col(f"_b{j}")) - r
-            name = F.xxhash64("term", q).bitwiseAND(F.lit((1 << NAME_BITS) - 1))
-            # hash of no term is 0, so that zeros stay free for documents without words
-            whole = F.floor((ln_a + SHIFT) * SCALE).cast("long") * (1 << NAME_BITS) + F.greatest(F.lit(1).cast("long"), name)
-            least.append(F.min(F.when(q.isNotNull(), whole)).alias(f"_m{j}_{w}"))
-    minima = stepped.groupBy(*keys, "_group").agg(*least)
+    js = range(TOGETHER)
+    dealt = counts.withColumn("_group", F.explode(F.array(*[F.lit(g) for g in range(_groups(samples))])))
+    logs = [F.when(F.col(w) > 0, F.log(F.col(w).cast("double")) * SCALE).otherwise(F.lit(ABSENT)).alias(f"_ln_{w}") for w in weights]
+    kept = [*keys, "_group", *[f"_ln_{w}" for w in weights]]
+    salted = dealt.select(*keys, "_group", *logs, F.col("term").bitwiseXOR(F.xxhash64(F.lit(seed), "_group")).alias("_t"))
+    hashed = salted.select(*kept, *[F.xxhash64(F.col("_t").bitwiseXOR(F.xxhash64(F.lit(seed + 1), F.lit(j)))).alias(f"_h{j}") for j in js])
+    found, h = hashed, [F.col(f"_h{j}") for j in js]
+    for which, of_r, at in (("r", True, B_BITS), ("c", False, B_BITS + 2 * CELL_BITS)):
+        read = [_look_up(of_r, _bits(x, at + CELL_BITS, CELL_BITS), _bits(x, at, CELL_BITS)) for x in h]
+        found = found.select("*", *[x.alias(f"_{which}{j}") for j, x in enumerate(read)])
+    mask = F.lit((1 << NAME_BITS) - 1)
+    bs = [((_bits(x, 0, B_BITS) + 0.5) / float(1 << B_BITS)).alias(f"_b{j}") for j, x in enumerate(h)]
+    found = found.select(*kept, *[f"_{x}{j}" for j in js for x in "rc"], *bs, *[x.bitwiseAND(mask).alias(f"_t{j}") for j, x in enumerate(h)])
+    for i, w in enumerate(weights):
+        ln_w, wholes = F.col(f"_ln_{w}"), []
+        for j in js:
+            r, c, b, term = (F.col(f"_{x}{j}") for x in "rcbt")
+            q = F.floor(ln_w / r + b)
+            once = F.shiftleft(F.floor(c - r * (1 - b)), NAME_BITS).bitwiseOR(term)
+            often = F.shiftleft(F.floor(c - r * (q - b) - r), NAME_BITS).bitwiseOR(term.bitwiseXOR(q.bitwiseAND(mask)))
+            whole = F.when(ln_w == 0, once).when(ln_w == ABSENT, F.lit(NOTHING)).otherwise(often)
+            if i:  # the same weight gives the same sample
+                whole = F.when(ln_w == F.col(f"_ln_{weights[i - 1]}"), F.col(f"_v{j}_{weights[i - 1]}")).otherwise(whole)
+            wholes.append(whole.alias(f"_v{j}_{w}"))
+        found = found.select("*", *wholes)
+    minima = found.groupBy(*keys, "_group").agg(
+        *[F.nullif(F.min(f"_v{j}_{w}"), F.lit(NOTHING)).alias(f"_m{j}_{w}") for w in weights for j in js]
+    )
     names = [
-        F.concat(
-            *[F.lpad(F.lower(F.hex(F.col(f"_m{j}_{w}").bitwiseAND(F.lit((1 << NAME_BITS) - 1)))), NAME_BITS // 4, "0") for j in range(TOGETHER)]
-        ).alias(f"_s_{w}")
+        F.concat(*[F.lpad(F.lower(F.hex(F.col(f"_m{j}_{w}").bitwiseAND(F.lit((1 << NAME_BITS) - 1)))), DIGITS, "0") for j in js]).alias(f"_s_{w}")
         for w in weights
     ]
     pieces = minima.select(*keys, "_group", *names)
@@ -96,11 +135,10 @@ def weighted_samples(counts: DataFrame, keys: list[str], weights: list[str], sam
 
 def likeness(one: Column, other: Column) -> Column:
     """Share of equal samples of two fingerprints."""
-    size = NAME_BITS // 4
-    same = F.filter(
-        F.sequence(F.lit(1), F.length(one), F.lit(size)), lambda i: F.substring(one, i, F.lit(size)) == F.substring(other, i, F.lit(size))
-    )
-    return F.size(same) / (F.length(one) / size)
+    a, b = one.cast("binary"), other.cast("binary")  # cut by bytes, not by counted characters
+    starts = F.sequence(F.lit(1), F.length(one), F.lit(DIGITS))
+    same = F.filter(starts, lambda i: F.substring(a, i, F.lit(DIGITS)) == F.substring(b, i, F.lit(DIGITS)))
+    return F.size(same) / (F.length(one) / DIGITS)
 
 
 def _words(text: Column) -> Column:
@@ -169,7 +207,7 @@ def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     key = [*KEY, "_own"]
     prints = fingerprints(edited.select(*key, "text", "edited"), key, ["text", "edited"], samples)
     facts = edited.select(*chain.columns, F.sha2(F.col("edited"), 256).alias("edited_sha256"))
-    nothing = F.lit("0" * (samples * NAME_BITS // 4))
+    nothing = F.lit("0" * (_groups(samples) * TOGETHER * DIGITS))
     joined = facts.join(prints, key, "left").select(
         *chain.columns, "edited_sha256",
         F.coalesce("text_fingerprint", nothing).alias("fingerprint"), F.coalesce("edited_fingerprint", nothing).alias("edited_fingerprint"),
