@@ -8,7 +8,7 @@ numbers come from one hash of ``t`` and ``k``: r and c of a gamma distribution w
 The sample is the (term, q) with the least ``a``. Two documents have the same sample with a probability equal to their generalised
 Jaccard similarity: the sum of the lesser weights over the sum of the greater ones. A fingerprint is SAMPLES samples of
 NAME_BITS bits, in hexadecimal; likeness is the share of equal ones. Its standard error is at most 0.5 / sqrt(SAMPLES), 0.051, and different
-samples look equal once in 4,095 times.
+samples look equal once in 256 times.
 
 r and ln(c) are read off tables of quantiles, because logarithms were most of the time of a draw: CELLS equal shares of the
 distribution, each by its middle, and where the end of it counts (large r, small c) that cell is divided once more. For weights that are all
@@ -37,7 +37,7 @@ SAMPLES = 96
 #: Samples whose minima one row updates; the rows of a term are repeated SAMPLES / TOGETHER times. The generated method has some 2,400
 #: bytes for each, and one of more than 8,000 is not compiled, which makes it ten times slower.
 TOGETHER = 3
-NAME_BITS = 12
+NAME_BITS = 8
 DIGITS = NAME_BITS // 4
 #: ln(a) is stored as (ln(a) + SHIFT) * SCALE; it lies between about -60 and 10.
 SHIFT, SCALE = 128.0, float(1 << 40)

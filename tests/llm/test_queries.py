@@ -97,7 +97,7 @@ def test_fingerprints(spark, texts):
         cut = len(text) // 4
         edited = text[: len(text) - cut] + following[:cut]
         assert rows[i].n_chars == len(text)
-        one, two, ahead = ([p[k : k + 3] for k in range(0, len(p), 3)] for p in (rows[i].fingerprint, rows[i].edited_fingerprint, rows[following_id].fingerprint))
+        one, two, ahead = ([p[k : k + 2] for k in range(0, len(p), 2)] for p in (rows[i].fingerprint, rows[i].edited_fingerprint, rows[following_id].fingerprint))
         assert len(one) == fingerprint.SAMPLES
         assert rows[i].near_edited == sum(map(str.__eq__, one, two)) / len(one) and rows[i].near_next == sum(map(str.__eq__, one, ahead)) / len(one)
         assert rows[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
