@@ -15,7 +15,9 @@ distribution, each by its middle, and where the end of it counts (large r, small
 1, any table gives exactly Jaccard's likeness; for others it is a sum in place of the integral over r and c.
 
 The least value is kept as one whole number, ln(a) in its upper and the sample's name in its lower bits, so the samples of a
-document come from plain minima. Documents are dealt by id once; counting terms and taking minima need no further shuffle.
+document come from plain minima. Documents are dealt by id once; counting terms and taking minima need no further shuffle. Samples depend on
+term and weight alone, so a term that weighs the same in several columns is drawn for once, with bits for these columns, and the minima of
+equal bits are brought together by column at the end; logarithms are taken once a term, before it is repeated for its samples.
 
 Cases: a document without words (NULL, empty or blank text) has the fingerprint of zeros; two such documents have likeness 1. Rows that share
 an id are documents of their own, one after the other in order of a hash; equal rows as well. A NULL id comes first. Ids are of any
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from salestax_spark.llm.common import WORD, Scratch, number_rows, row_hash
 
 SAMPLES = 96
-#: Samples whose minima one row updates; the rows of a term are repeated SAMPLES / TOGETHER times. The generated method has some 2,400
+#: Samples whose minima one row updates; the rows of a term are repeated SAMPLES / TOGETHER times. The generated method has some 1,200
 #: bytes for each, and one of more than 8,000 is not compiled, which makes it ten times slower.
 TOGETHER = 3
 NAME_BITS = 8
@@ -44,8 +46,6 @@ SHIFT, SCALE = 128.0, float(1 << 40)
 #: Bits of a hash, from the top: cell of c, part of its first cell; cell of r, part of its last cell; b, whose last ones also name the term.
 CELL_BITS, B_BITS = 10, 24
 CELLS = 1 << CELL_BITS
-#: ln of an absent term's weight, and the value of its sample.
-ABSENT, NOTHING = -1e300, (1 << 63) - 1
 
 
 def _quantiles(share: np.ndarray, upper: bool) -> np.ndarray:
@@ -85,39 +85,58 @@ def _bits(word: Column, above: int, count: int) -> Column:
     return F.shiftrightunsigned(word, above).bitwiseAND(F.lit((1 << count) - 1))
 
 
+def _distinct_weights(weights: list[str]) -> Column:
+    """An array with an entry for each weight column: ln of the weight, times SCALE, and ``of``, with a bit for each column of that weight.
+
+    NULL stands in it for a weight of 0 or NULL, and for one that an earlier column has as well. A term without any weight has an entry for no
+    column, which keeps its key.
+    """
+    absent = F.lit(True)
+    for w in weights:
+        absent &= F.coalesce(F.col(w) <= 0, F.lit(True))
+    entries = [F.when(absent, F.struct(F.lit(0.0).alias("ln"), F.lit(0).alias("of")))]
+    for i, w in enumerate(weights):
+        of = F.lit(1 << i)
+        for j in range(i + 1, len(weights)):
+            of = of.bitwiseOR(F.when(F.col(w) == F.col(weights[j]), F.lit(1 << j)).otherwise(F.lit(0)))
+        is_new = F.col(w) > 0
+        for earlier in weights[:i]:
+            is_new &= ~F.col(w).eqNullSafe(F.col(earlier))
+        entries.append(F.when(is_new, F.struct((F.log(F.col(w).cast("double")) * SCALE).alias("ln"), of.alias("of"))))
+    return F.array(*entries)
+
+
 def weighted_samples(counts: DataFrame, keys: list[str], weights: list[str], samples: int = SAMPLES, seed: int = 7) -> DataFrame:
     """``counts``: one row per key and term (a long) with one or more weight columns. Result: keys, one fingerprint per weight column.
 
     ``samples`` is rounded up to a multiple of TOGETHER. The fingerprint column of weight ``w`` is ``w_fingerprint``. A weight of 0 or NULL means that the term is absent. Keys without any
     weight over 0 in a column have NULL there.
     """
-    js = range(TOGETHER)
-    dealt = counts.withColumn("_group", F.explode(F.array(*[F.lit(g) for g in range(_groups(samples))])))
-    logs = [F.when(F.col(w) > 0, F.log(F.col(w).cast("double")) * SCALE).otherwise(F.lit(ABSENT)).alias(f"_ln_{w}") for w in weights]
-    kept = [*keys, "_group", *[f"_ln_{w}" for w in weights]]
-    salted = dealt.select(*keys, "_group", *logs, F.col("term").bitwiseXOR(F.xxhash64(F.lit(seed), "_group")).alias("_t"))
+    js, sides = range(TOGETHER), len(weights)
+    weighed = counts.select(*keys, "term", F.explode(_distinct_weights(weights)).alias("_e")).where("_e IS NOT NULL")
+    weighed = weighed.select(*keys, "term", *[F.coalesce(F.col(f"_e.{x}"), F.lit(none)).alias(f"_{x}") for x, none in (("ln", 0.0), ("of", 0))])
+    dealt = weighed.withColumn("_group", F.explode(F.array(*[F.lit(g) for g in range(_groups(samples))])))
+    at = F.shiftleft("_group", sides).bitwiseOR(F.col("_of")).alias("_at")
+    kept = [*keys, "_at", "_ln"]
+    salted = dealt.select(*keys, at, "_ln", F.col("term").bitwiseXOR(F.xxhash64(F.lit(seed), "_group")).alias("_t"))
     hashed = salted.select(*kept, *[F.xxhash64(F.col("_t").bitwiseXOR(F.xxhash64(F.lit(seed + 1), F.lit(j)))).alias(f"_h{j}") for j in js])
     found, h = hashed, [F.col(f"_h{j}") for j in js]
-    for which, of_r, at in (("r", True, B_BITS), ("c", False, B_BITS + 2 * CELL_BITS)):
-        read = [_look_up(of_r, _bits(x, at + CELL_BITS, CELL_BITS), _bits(x, at, CELL_BITS)) for x in h]
+    for which, of_r, above in (("r", True, B_BITS), ("c", False, B_BITS + 2 * CELL_BITS)):
+        read = [_look_up(of_r, _bits(x, above + CELL_BITS, CELL_BITS), _bits(x, above, CELL_BITS)) for x in h]
         found = found.select("*", *[x.alias(f"_{which}{j}") for j, x in enumerate(read)])
     mask = F.lit((1 << NAME_BITS) - 1)
-    bs = [((_bits(x, 0, B_BITS) + 0.5) / float(1 << B_BITS)).alias(f"_b{j}") for j, x in enumerate(h)]
+    bs = [((_bits(x, 0, B_BITS) + 0.5) * (1 / (1 << B_BITS))).alias(f"_b{j}") for j, x in enumerate(h)]
     found = found.select(*kept, *[f"_{x}{j}" for j in js for x in "rc"], *bs, *[x.bitwiseAND(mask).alias(f"_t{j}") for j, x in enumerate(h)])
-    for i, w in enumerate(weights):
-        ln_w, wholes = F.col(f"_ln_{w}"), []
-        for j in js:
-            r, c, b, term = (F.col(f"_{x}{j}") for x in "rcbt")
-            q = F.floor(ln_w / r + b)
-            once = F.shiftleft(F.floor(c - r * (1 - b)), NAME_BITS).bitwiseOR(term)
-            often = F.shiftleft(F.floor(c - r * (q - b) - r), NAME_BITS).bitwiseOR(term.bitwiseXOR(q.bitwiseAND(mask)))
-            whole = F.when(ln_w == 0, once).when(ln_w == ABSENT, F.lit(NOTHING)).otherwise(often)
-            if i:  # the same weight gives the same sample
-                whole = F.when(ln_w == F.col(f"_ln_{weights[i - 1]}"), F.col(f"_v{j}_{weights[i - 1]}")).otherwise(whole)
-            wholes.append(whole.alias(f"_v{j}_{w}"))
-        found = found.select("*", *wholes)
-    minima = found.groupBy(*keys, "_group").agg(
-        *[F.nullif(F.min(f"_v{j}_{w}"), F.lit(NOTHING)).alias(f"_m{j}_{w}") for w in weights for j in js]
+    found = found.select("*", *[F.floor(F.col("_ln") / F.col(f"_r{j}") + F.col(f"_b{j}")).alias(f"_q{j}") for j in js])
+    wholes = []
+    for j in js:
+        r, c, b, term, q = (F.col(f"_{x}{j}") for x in "rcbtq")
+        once = F.shiftleft(F.floor(c - r * (1 - b)), NAME_BITS).bitwiseOR(term)
+        often = F.shiftleft(F.floor(c - r * (q - b) - r), NAME_BITS).bitwiseOR(term.bitwiseXOR(q.bitwiseAND(mask)))
+        wholes.append(F.when(F.col("_ln") == 0, once).otherwise(often).alias(f"_v{j}"))
+    minima = found.select(*keys, "_at", *wholes).groupBy(*keys, "_at").agg(*[F.min(f"_v{j}").alias(f"_m{j}") for j in js])
+    minima = minima.withColumn("_group", F.shiftright("_at", sides)).groupBy(*keys, "_group").agg(
+        *[F.min(F.when(F.col("_at").bitwiseAND(F.lit(1 << i)) != 0, F.col(f"_m{j}"))).alias(f"_m{j}_{w}") for i, w in enumerate(weights) for j in js]
     )
     names = [
         F.concat(*[F.lpad(F.lower(F.hex(F.col(f"_m{j}_{w}").bitwiseAND(F.lit((1 << NAME_BITS) - 1)))), DIGITS, "0") for j in js]).alias(f"_s_{w}")

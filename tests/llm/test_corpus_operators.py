@@ -258,6 +258,27 @@ def test_fingerprint_rate_with_many_terms_and_large_weights(spark, scale):
     assert abs(np.mean(got) - np.minimum(one, two).sum() / np.maximum(one, two).sum()) < 0.02
 
 
+def test_fingerprint_of_a_column_does_not_depend_on_the_others(spark):
+    rows = [(k, t, *w) for k in range(3) for t, w in enumerate([(1, 1, 1), (2, 2, 1), (3, 1, 3), (0, 4, 4), (None, None, 2), (5, 0, None), (0, 0, 0)][: 7 - k])]
+    counts = spark.createDataFrame(rows, "k int, term long, a long, b long, c long")
+    whole = {r.k: r for r in fingerprint.weighted_samples(counts, ["k"], ["a", "b", "c"]).collect()}
+    for w in "abc":
+        alone = {r.k: r[1] for r in fingerprint.weighted_samples(counts, ["k"], [w]).collect()}
+        assert {k: r[f"{w}_fingerprint"] for k, r in whole.items()} == alone and len(alone) == 3
+    absent = spark.createDataFrame([(0, 1, 2, 0), (1, 1, 0, None), (1, 2, None, 0)], "k int, term long, a long, b long")
+    got = {r.k: r for r in fingerprint.weighted_samples(absent, ["k"], ["a", "b"]).collect()}
+    assert got[0].b_fingerprint is None and len(got[0].a_fingerprint) == fingerprint.SAMPLES * fingerprint.DIGITS
+    assert got[1].a_fingerprint is None and got[1].b_fingerprint is None
+
+
+def test_logarithms_are_taken_before_terms_are_repeated_for_their_samples(spark):
+    counts = spark.createDataFrame([(0, 1, 2, 2)], "k int, term long, a long, b long")
+    plan = fingerprint.weighted_samples(counts, ["k"], ["a", "b"])._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    repeated = next(i for i, line in enumerate(plan) if "Generate explode([0,1,2,3" in line)
+    logs = [i for i, line in enumerate(plan) if "LOG(" in line.upper() or "LN(" in line.upper()]
+    assert logs and min(logs) > repeated  # a plan's first line is its last step
+
+
 def test_every_row_has_its_fingerprint(spark):
     """Repeated ids, equal rows, a NULL id, ids that are words, a very long text: one result per row, next to the row that follows by id."""
     long = " ".join(f"w{i % 5000}" for i in range(60_000))
